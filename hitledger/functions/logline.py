@@ -86,7 +86,7 @@ def parse(
     pattern = _pattern(mode)
     if mode == "strict":
         rows = _strict(lines, keep)
-        return rows.filter(is_page("url", pages)) if pages else rows
+        return rows.filter(_page(pages)) if pages else rows
     group = lambda i: F.regexp_extract("__line", pattern, i)
     rows = lines.select(*keep, _line(mode).alias("__line"))
     if not pages:
@@ -95,7 +95,7 @@ def parse(
     url = group(2 if mode == "loose" else 4)
     rows = rows.select(*keep, "__line", F.explode(F.array(url)).alias("url"))
     if pages:
-        rows = rows.filter(is_page("url", pages))
+        rows = rows.filter(_page(pages))
     if mode == "loose":
         return rows.select(
             *keep,
@@ -116,6 +116,12 @@ def parse(
     )
 
 
+def _page(rule: str) -> Column:
+    # Joins on the URL ask for this null test. Stated here, it is in every branch of a
+    # report, so the branches stay equal and Spark runs one of them and reuses it.
+    return is_page("url", rule) & F.col("url").isNotNull()
+
+
 def _strict(lines: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """A line that matches has its fields at fixed places between single spaces:
     ``host - - [time offset] "method url protocol" status size``. So one match test

@@ -1,11 +1,12 @@
 """Running values along an ordered log, for keys of any size.
 
-A window over a key sorts all its rows in one task. Here the order axis is cut into
-chunks of ``chunk`` positions: a first aggregate sums up each (key, chunk), a window
-over those summaries carries them forward, and the row-level window runs per
-(key, chunk) with the carried value as its first row. Positions are offsets of a log,
-so a chunk has a fixed number of them; the summaries of one key number at most
-(length of the log / chunk).
+A window over a key sorts all rows of the key in one task. For hot keys the order axis is
+cut into chunks of ``chunk`` positions: an aggregate sums up each (key, chunk), a window
+over those summaries carries them forward, and the row-level window runs per (key, chunk)
+with the carried value as its first row. A key that is not hot is one chunk.
+
+Positions are the unique offsets of a log, so a chunk has at most ``chunk`` rows, and a
+key at most (length of the log / chunk) summaries.
 """
 
 from __future__ import annotations
@@ -15,15 +16,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 20
+from hitledger.operators.skew import HOT_ROWS, hot_keys
+
+CHUNK = HOT_ROWS
 
 
 def running_count(
-    df: DataFrame, keys: list[str], position: str, flag: Column, out: str, chunk: int = CHUNK
+    df: DataFrame,
+    keys: list[str],
+    position: str,
+    flag: Column,
+    out: str,
+    chunk: int = CHUNK,
+    sized_by: list[str] | None = None,
 ) -> DataFrame:
     """Rows with ``flag`` up to and including this one, within ``keys``."""
     rows = df.withColumn("__in", F.when(flag, 1).otherwise(0).cast("long"))
-    return _running(rows, keys, [position], F.sum("__in"), F.sum, 0, out, chunk)
+    return _running(rows, keys, [position], F.sum("__in"), F.sum, 0, out, chunk, sized_by)
 
 
 def last_before(
@@ -33,22 +42,23 @@ def last_before(
     value: Column,
     out: str,
     chunk: int = CHUNK,
+    sized_by: list[str] | None = None,
 ) -> DataFrame:
     """The last non-null ``value`` strictly before this row, within ``keys``.
 
     ``order[0]`` is the position, further columns break ties.
     """
-    rows = df.withColumn("__in", value)
     place = F.when(F.col("__in").isNotNull(), F.struct(*order))
     return _running(
-        rows,
+        df.withColumn("__in", value),
         keys,
         order,
         F.max_by("__in", place),
-        lambda c: F.last(c, ignorenulls=True),
+        lambda column: F.last(column, ignorenulls=True),
         -1,
         out,
         chunk,
+        sized_by,
     )
 
 
@@ -61,12 +71,22 @@ def _running(
     until: int,
     out: str,
     chunk: int,
+    sized_by: list[str] | None,
 ) -> DataFrame:
+    """``sized_by``: some of ``keys``, whose groups decide what is hot. Coarser groups are
+    fewer to count; the groups of ``keys`` within are no larger."""
+    sized_by = sized_by or keys
+    sizes = rows.groupBy(*sized_by).agg(F.count("*").alias("__size"))
+    hot = hot_keys(sizes, sized_by, "__size", chunk)
+    position = F.col(order[0])
+    rows = rows.join(hot, sized_by, "left").withColumn(
+        "__chunk", F.when(F.col("__parts") > 0, F.floor(position / chunk)).otherwise(0)
+    )
     first = Window.unboundedPreceding
-    rows = rows.withColumn("__chunk", F.floor(F.col(order[0]) / chunk))
     earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(first, -1)
     carried = (
-        rows.groupBy(*keys, "__chunk")
+        rows.filter("__parts > 0")
+        .groupBy(*keys, "__chunk")
         .agg(summary.alias("__sum"))
         .select(*keys, "__chunk", fold(F.col("__sum")).over(earlier).alias("__in"))
         .filter("__in is not null")
@@ -78,7 +98,8 @@ def _running(
         .rowsBetween(first, until)
     )
     return (
-        rows.withColumn("__row", F.lit(True))
+        rows.drop("__parts")
+        .withColumn("__row", F.lit(True))
         .unionByName(carried, allowMissingColumns=True)
         .withColumn(out, fold(F.col("__in")).over(line))
         .filter("__row")

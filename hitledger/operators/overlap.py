@@ -1,11 +1,11 @@
 """Pairs of a point and an interval that contains it, within equal keys.
 
 An equi-join on the keys alone would test every pair of a key. Here each interval is
-filed under the power of two next above its length: in cells of that width it touches
-two at most. A point looks into one cell per width in use. So a pair meets only if it
-lies within about one interval length, and a key with very many rows is spread over its
-cells. What is left in one place (long intervals of a busy key) is a plain shuffle join
-that AQE may split.
+filed under a cell width next above its length (widths are powers of ``2**STEP``), so it
+touches two cells at most. A point looks into one cell per width in use. A pair therefore
+meets only if it lies within a few interval lengths, and a key with very many rows is
+spread over its cells. What is left in one place (long intervals of a busy key) is a
+plain shuffle join, both sides fresh from a shuffle, which AQE splits if it is skewed.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+STEP = 2
 # Intervals shorter than 2**MIN_LEVEL share one cell width.
 MIN_LEVEL = 4
 
@@ -31,10 +32,11 @@ def stab(
     Columns of both sides are kept; apart from the keys their names must differ.
     """
     length = F.col(high) - F.col(low)
-    level = F.when(length <= 1, 0).otherwise(F.length(F.bin(length - 1)))
+    bits = F.when(length <= 1, 0).otherwise(F.length(F.bin(length - 1)))
+    level = F.greatest((F.ceil(bits / STEP) * STEP).cast("int"), F.lit(min_level))
     filed = (
         spans.filter(length > 0)
-        .withColumn("__level", F.greatest(level, F.lit(min_level)))
+        .withColumn("__level", level)
         .withColumn(
             "__cell",
             F.explode(
@@ -45,10 +47,12 @@ def stab(
         )
     )
     # At most 64 widths exist, whatever the data.
-    levels = filed.agg(F.collect_set("__level").alias("__levels")).scalar()
+    levels = filed.agg(F.collect_set("__level")).scalar()
+    # The outer form of explode: the other one adds a filter on the subquery that moves
+    # down to the scan, which then differs from the scan of the spans and is not shared.
     looking = (
         points.withColumn("__levels", levels)
-        .withColumn("__level", F.explode("__levels"))
+        .withColumn("__level", F.explode_outer("__levels"))
         .withColumn("__cell", F.expr(f"shiftright({at}, __level)"))
         .drop("__levels")
     )

@@ -1,40 +1,50 @@
-"""Joining rows to the aggregates of their group when one group may be huge."""
+"""Keys that hold very many rows, and joining rows to the aggregates of their key.
+
+A hot key is split over several tasks. Only the largest keys are, so the list of them
+that is broadcast has a fixed longest length; every key left whole holds less than a
+``HOT_KEYS``-th of all rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A group with more rows than this is split over several tasks.
+# A key with more rows than this is hot.
 HOT_ROWS = 1_000_000
-# Only the largest groups are split, so the list that is broadcast stays this short.
-# Any further group holds less than a HOT_KEYS-th of all rows.
-HOT_KEYS = 1_000
+HOT_KEYS = 10_000
+
+
+def hot_keys(
+    sizes: DataFrame, keys: list[str], size: str, hot_rows: int, limit: int = HOT_KEYS
+) -> DataFrame:
+    """The hot ones in ``sizes`` (one row per key), with the number of parts each needs,
+    marked for broadcast: ``limit`` rows at most."""
+    return F.broadcast(
+        sizes.filter(F.col(size) > hot_rows)
+        .orderBy(F.desc(size), *keys)
+        .limit(limit)
+        .select(*keys, F.ceil(F.col(size) / hot_rows).cast("int").alias("__parts"))
+    )
 
 
 def attach(
     df: DataFrame,
     stats: DataFrame,
     keys: list[str],
-    weight: str,
+    size: str,
     spread: list[str],
     hot_rows: int = HOT_ROWS,
-    hot_keys: int = HOT_KEYS,
 ) -> DataFrame:
     """Every row of ``df`` with the columns of ``stats``, which has one row per key.
 
-    ``weight`` is the column of ``stats`` that says how many rows of ``df`` a key has at
-    most. A key above ``hot_rows`` gets one part per ``hot_rows`` rows: its rows are
-    dealt over the parts by a hash of the ``spread`` columns and its stats row is
-    repeated once per part. All other keys have a single part. (AQE cannot split such a
-    join by itself, because ``stats`` comes straight from an aggregate.)
+    ``size`` is the column of ``stats`` that says how many rows of ``df`` a key has at
+    most. The rows of a hot key are dealt over its parts by a hash of the ``spread``
+    columns, and its stats row is repeated once per part; any other key has one part.
+    (AQE cannot split such a join by itself: ``stats`` comes straight from an
+    aggregate, without a shuffle of its own to split.)
     """
-    hot = F.broadcast(
-        stats.filter(F.col(weight) > hot_rows)
-        .orderBy(F.desc(weight), *keys)
-        .limit(hot_keys)
-        .select(*keys, F.ceil(F.col(weight) / hot_rows).cast("int").alias("__parts"))
-    )
+    hot = hot_keys(stats, keys, size, hot_rows)
     parts = F.coalesce("__parts", F.lit(1))
     rows = (
         df.join(hot, keys, "left")

@@ -120,7 +120,9 @@ def phantom_reads(oplog: DataFrame, chunk: int = CHUNK) -> DataFrame:
     others' puts differs between its first and its last read."""
     ops = oplog.filter(is_put() | is_read()).select("seq", "tx_id", "node", "op")
     counted = running_count(ops, ["node"], "seq", is_put(), "all_puts", chunk)
-    counted = running_count(counted, ["tx_id", "node"], "seq", is_put(), "own_puts", chunk)
+    counted = running_count(
+        counted, ["tx_id", "node"], "seq", is_put(), "own_puts", chunk, sized_by=["tx_id"]
+    )
     others = F.when(is_read(), F.col("all_puts") - F.col("own_puts"))
     return (
         counted.groupBy("tx_id", "node")

@@ -47,6 +47,7 @@ def resolve_reads(
         written_value(),
         "own",
         chunk,
+        sized_by=["tx_id"],
     )
     reads = own.filter(is_read()).select("tx_id", *SLOT, "seq", "own")
     last_writes = (

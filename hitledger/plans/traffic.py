@@ -58,14 +58,14 @@ def url_report(
     cells = counts.rollup(hits)
     best = counts.top(counts.dense_statuses(cells, statuses), k, by="total")
     daily = cells.groupBy("url", "date").agg(F.sum("count").alias("count"))
-    rated = anomalies(counts.keep_keys(daily, best.select("url"), k), rule)
-    flagged = rated.select(
-        "url", "date", F.col("count").alias("n"), F.when(F.col("is_anomaly"), F.col("type")).alias("type")
+    rated = anomalies(counts.keep_keys(daily, best, k), rule)
+    kind = F.when(F.col("is_anomaly"), F.col("type")).alias("type")
+    return (
+        rated.select(*best.columns, "date", F.col("count").alias("n"), kind)
+        .groupBy(*best.columns)
+        .agg(_day_list("HIGH").alias("high"), _day_list("LOW").alias("low"))
+        .orderBy(F.desc("total"), "url")
     )
-    days = flagged.groupBy("url").agg(
-        _day_list("HIGH").alias("high"), _day_list("LOW").alias("low")
-    )
-    return best.join(days, "url").orderBy(F.desc("total"), "url")
 
 
 def listing(days: Column | str, empty: str) -> Column:
