@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hitledger.functions.encoding import drop_bad_bytes
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("host", T.StringType()),
@@ -40,7 +42,7 @@ TOPIC_SCHEMA = T.StructType(
 def clean_key(key: Column | str) -> Column:
     """Key bytes to text, cut at the first NUL and stripped."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.trim(F.substring_index(F.replace(key.cast("string"), F.lit("\ufffd"), F.lit("")), "\0", 1))
+    return F.trim(F.substring_index(drop_bad_bytes(key.cast("string")), "\0", 1))
 
 
 def to_records(df: DataFrame, key: str | None = None, upper: bool = False) -> DataFrame:

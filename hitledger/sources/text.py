@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitledger.functions.encoding import drop_bad_bytes
+
 LINE_SCHEMA = "value string"
 
 
 def read_lines(spark: SparkSession, path: str, bad_bytes: str = "keep") -> DataFrame:
     """UTF-8 text; a directory of part files reads as one input.
 
-    Undecodable bytes arrive as U+FFFD; ``bad_bytes='drop'`` takes that character out.
+    Bytes that do not decode show as U+FFFD; ``bad_bytes='drop'`` takes them out.
     """
     return _clean(spark.read.text(path), bad_bytes)
 
@@ -50,7 +52,7 @@ def _clean(lines: DataFrame, bad_bytes: str) -> DataFrame:
     if bad_bytes == "keep":
         return lines
     if bad_bytes == "drop":
-        return lines.withColumn("value", F.replace("value", F.lit("\ufffd"), F.lit("")))
+        return lines.withColumn("value", drop_bad_bytes(F.col("value")))
     raise ValueError(f"bad_bytes must be 'keep' or 'drop', not {bad_bytes!r}")
 
 
