@@ -7,10 +7,14 @@ Three readings of a line exist and disagree on odd ones, so each is a named mode
 ``loose``   timestamp, url, status; the status may be the start of a longer number.
 ``stream``  the same seven fields as ``strict`` but with lazy request tokens.
 
-Parsing is the costly part of every report (one regular expression run per line and
-group), so each mode runs as few as it can. The URL is produced by a one-element
-``explode``: the optimizer does not copy a generator's output into the filters above,
-so a page filter tests the URL without extracting it again.
+Parsing is the costly part of every report: each field taken by a regular expression is
+one more run of it over the line. But a line without oddities has its fields between
+single spaces, and there the three readings agree. So one match test decides whether a
+line may be split at its spaces, and only the other lines are read field by field.
+
+The split is produced by a one-element ``explode``. The optimizer does not copy a
+generator's output into the operators above, so line and split are computed once, not
+once per filter and field.
 """
 
 from __future__ import annotations
@@ -19,11 +23,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitledger.constants import DAY_FORMAT, LOOSE, STREAM, STRICT, TIME_FORMAT
-from hitledger.functions.pages import is_page
+from hitledger.functions.pages import is_page, may_hold_page
 
 # (?d): only \n ends a line for the dot.
 PATTERNS = {"strict": STRICT, "loose": "(?d)" + LOOSE, "stream": "(?d)" + STREAM}
 
+# A line on which all readings agree with its split at single spaces: printable ASCII,
+# no quote inside the request and no bracket inside the time.
+PLAIN = (
+    r'^[!-~]++ - - \[[!-\\^-~]++ [!-\\^-~]++\] "[!#-~]++ [!#-~]++ [!#-~]++" '
+    r"\d{3} (?:\d++|-)(?: |$)"
+)
+
 # What stripping a line removes at both ends.
 BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
@@ -84,68 +95,84 @@ def parse(
     carry along. Unused output columns cost nothing: they are pruned.
     """
     pattern = _pattern(mode)
-    if mode == "strict":
-        rows = _strict(lines, keep)
-        return rows.filter(_page(pages)) if pages else rows
-    group = lambda i: F.regexp_extract("__line", pattern, i)
-    rows = lines.select(*keep, _line(mode).alias("__line"))
-    if not pages:
-        # A URL that passes a page rule proves the match; without one, test it.
-        rows = rows.filter(F.col("__line").rlike(pattern))
-    url = group(2 if mode == "loose" else 4)
-    rows = rows.select(*keep, "__line", F.explode(F.array(url)).alias("url"))
     if pages:
-        rows = rows.filter(_page(pages))
-    if mode == "loose":
-        return rows.select(
-            *keep,
-            group(1).alias("timestamp"),
-            "url",
-            status_code(group(3)).alias("status"),
-            day_text(group(1)).alias("day"),
-        )
-    return rows.select(
-        *keep,
-        group(1).alias("host"),
-        group(2).alias("timestamp"),
-        group(3).alias("method"),
-        "url",
-        group(5).alias("protocol"),
-        status_code(group(6)).alias("status"),
-        size_bytes(group(7)).alias("bytes"),
+        lines = lines.filter(may_hold_page("value", pages))
+    plain = pattern if mode == "strict" else PLAIN
+    split = F.when(F.col("value").rlike(plain), F.split("value", " "))
+    rows = lines.select(*keep, "value", F.explode(F.array(split)).alias("__token"))
+    is_plain = F.col("__token").isNotNull()
+    if mode == "strict":
+        rows = rows.filter(is_plain)
+    elif not pages:
+        # With a page rule there is no need: a URL that passes it proves the match.
+        rows = rows.filter(is_plain | matches(mode))
+    columns = _loose() if mode == "loose" else _seven(mode)
+    parsed = rows.select(*keep, *(column.alias(name) for name, column in columns.items()))
+    return parsed.filter(_page(pages)) if pages else parsed
+
+
+def _token(place: int) -> Column:
+    return F.get("__token", F.lit(place))
+
+
+def _field(of_plain: Column, mode: str, group: int) -> Column:
+    return F.coalesce(of_plain, F.regexp_extract(_line(mode), _pattern(mode), group))
+
+
+def _timestamp() -> Column:
+    date_time, offset = _token(3), _token(4)
+    return F.concat(
+        F.substring(date_time, F.lit(2), F.length(date_time)),
+        F.lit(" "),
+        F.substring(offset, F.lit(1), F.length(offset) - 1),
     )
 
 
+def _loose() -> dict[str, Column]:
+    timestamp = _field(_timestamp(), "loose", 1)
+    return {
+        "timestamp": timestamp,
+        "url": _field(_token(6), "loose", 2),
+        "status": status_code(_field(_token(8), "loose", 3)),
+        "day": day_text(timestamp),
+    }
+
+
+def _seven(mode: str) -> dict[str, Column]:
+    """``host - - [time offset] "method url protocol" status size``."""
+    method, protocol = _token(5), _token(7)
+    tokens = {
+        "host": _token(0),
+        "timestamp": _timestamp(),
+        "method": F.substring(method, F.lit(2), F.length(method)),
+        "url": _token(6),
+        "protocol": F.substring(protocol, F.lit(1), F.length(protocol) - 1),
+        "status": _token(8),
+        "bytes": _token(9),
+    }
+    if mode == "strict":
+        # The size may be the start of a longer token here.
+        tokens["bytes"] = F.regexp_extract(_token(9), r"^(\d+|-)", 1)
+        columns = tokens
+    else:
+        columns = {
+            name: _field(token, mode, group)
+            for group, (name, token) in enumerate(tokens.items(), start=1)
+        }
+    columns["status"] = status_code(columns["status"])
+    columns["bytes"] = size_bytes(columns["bytes"])
+    if mode == "strict":
+        day = F.substring(_token(3), 2, 11)
+        columns["date"] = F.try_to_date(day, DAY_FORMAT)
+    return columns
+
+
 def _page(rule: str) -> Column:
     # Joins on the URL ask for this null test. Stated here, it is in every branch of a
     # report, so the branches stay equal and Spark runs one of them and reuses it.
     return is_page("url", rule) & F.col("url").isNotNull()
 
 
-def _strict(lines: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """A line that matches has its fields at fixed places between single spaces:
-    ``host - - [time offset] "method url protocol" status size``. So one match test
-    and one split replace one expression run per field."""
-    token = lambda i: F.get("__token", F.lit(i))
-    rows = lines.filter(matches("strict")).select(
-        *keep, F.explode(F.array(F.split("value", " "))).alias("__token")
-    )
-    timestamp = F.concat_ws(
-        " ", F.substring(token(3), 2, 20), F.substring(token(4), 1, 5)
-    )
-    return rows.select(
-        *keep,
-        token(0).alias("host"),
-        timestamp.alias("timestamp"),
-        F.substring(token(5), F.lit(2), F.length(token(5))).alias("method"),
-        token(6).alias("url"),
-        F.substring(token(7), F.lit(1), F.length(token(7)) - 1).alias("protocol"),
-        status_code(token(8)).alias("status"),
-        size_bytes(F.regexp_extract(token(9), r"^(\d+|-)", 1)).alias("bytes"),
-        F.try_to_date(F.substring(token(3), 2, 11), DAY_FORMAT).alias("date"),
-    )
-
-
 def mapper_rows(hits: DataFrame) -> DataFrame:
     """Loose rows in the shape of the tab-separated intermediate file."""
     return hits.select("url", F.col("status").cast("string").alias("status"), "day")

@@ -25,6 +25,14 @@ def is_page(url: Column | str, rule: str = "suffix") -> Column:
     raise ValueError(f"unknown page rule {rule!r}, expected one of {RULES}")
 
 
+def may_hold_page(line: Column | str, rule: str = "suffix") -> Column:
+    """True for every line with a page URL in it: a cheap test ahead of parsing."""
+    line = F.col(line) if isinstance(line, str) else line
+    if rule == "contains":
+        return line.contains(PAGE_TEXT)
+    return F.lower(line).contains(PAGE_SUFFIXES[-1])
+
+
 def success(status: Column | str = "status") -> Column:
     status = F.col(status) if isinstance(status, str) else status
     return F.when(status == 200, 1).otherwise(0)

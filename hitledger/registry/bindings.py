@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ACCESS_LOG = """
 select event_id, ts,
@@ -46,8 +47,15 @@ def _derive(events: DataFrame, query: str) -> DataFrame:
     return events.sparkSession.sql(query.format(**SPARK, events="{events}"), events=events)
 
 
+def _lines(events: DataFrame) -> DataFrame:
+    # One-element explode: the line is made once, as if read, and not again wherever a
+    # parser or a filter looks at it.
+    line = F.explode(F.array("value")).alias("value")
+    return _derive(events, ACCESS_LOG).select("event_id", "ts", line)
+
+
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(table(spark, sf_dir, "events"), ACCESS_LOG)
+    return _lines(table(spark, sf_dir, "events"))
 
 
 def oplog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,4 +68,4 @@ def access_log_stream(
     reader = spark.readStream.schema(table(spark, sf_dir, "events").schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return _derive(reader.parquet(f"{sf_dir}/{EVENTS_FILES}"), ACCESS_LOG)
+    return _lines(reader.parquet(f"{sf_dir}/{EVENTS_FILES}"))
