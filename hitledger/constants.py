@@ -36,8 +36,3 @@ REPORT_LABELS = {
     "none": "нет",
     "rule": "-" * 30,
 }
-
-# Topic and table names.
-LOG_TOPIC = "nasa_access_logs"
-METRICS_TOPIC = "URL_METRICS"
-METRICS_TABLE = '"URL_METRICS"'

@@ -173,6 +173,24 @@ def _page(rule: str) -> Column:
     return is_page("url", rule) & F.col("url").isNotNull()
 
 
-def mapper_rows(hits: DataFrame) -> DataFrame:
-    """Loose rows in the shape of the tab-separated intermediate file."""
-    return hits.select("url", F.col("status").cast("string").alias("status"), "day")
+def mapper_rows(hits: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Loose rows as the text fields of the tab-separated intermediate file."""
+    return hits.select(*keep, "url", F.col("status").cast("string").alias("status"), "day")
+
+
+def tab_lines(rows: DataFrame) -> DataFrame:
+    """Intermediate rows as tab-separated lines."""
+    return rows.select(F.concat_ws("\t", "url", "status", "day").alias("value"))
+
+
+def from_tab_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tab-separated lines back to fields, and apart from them the lines that do not have
+    exactly three."""
+    fields = F.split(F.btrim("value", F.lit(BLANKS)), "\t")
+    rows = lines.select("value", F.explode_outer(F.array(fields)).alias("__fields"))
+    whole = F.coalesce(F.size("__fields") == 3, F.lit(False))
+    names = ("url", "status", "day")
+    good = rows.filter(whole).select(
+        *(F.get("__fields", F.lit(i)).alias(name) for i, name in enumerate(names))
+    )
+    return good, rows.filter(~whole).select("value")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.operators.ordered import CHUNK, running_count
+from hitledger.operators.ordered import CHUNK, last_before, running_count
 from hitledger.operators.overlap import stab
 from hitledger.operators.skew import HOT_ROWS, attach
 from hitledger.plans.oplog import SLOT, is_put, is_read, is_write, spans, touches, with_span
@@ -80,24 +80,34 @@ def write_skew_pairs(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def dirty_reads(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Reads that return what another transaction has put but not yet committed."""
-    puts = oplog.filter(is_put()).select("tx_id", *SLOT, "seq", "value")
-    open_puts = attach(puts, spans(oplog), ["tx_id"], "tx_ops", ["seq"], hot_rows).select(
-        *SLOT,
-        "value",
+def dirty_reads(
+    oplog: DataFrame, hot_rows: int = HOT_ROWS, chunk: int = CHUNK
+) -> DataFrame:
+    """Reads that return what another transaction has put but not yet committed: one row
+    per read and writing transaction, with the last such put before the read.
+
+    A put counts until the same transaction puts the same value there again, or commits.
+    So these intervals do not overlap, and a transaction that puts a value a thousand
+    times does not make a thousand rows of every read.
+    """
+    slot_value = [*SLOT, "value"]
+    puts = oplog.filter(is_put()).select("tx_id", *slot_value, "seq", (-F.col("seq")).alias("back"))
+    followed = last_before(
+        puts, ["tx_id", *slot_value], ["back"], F.col("seq"), "next_seq", chunk, sized_by=["tx_id"]
+    )
+    # The seq spreads a transaction that puts one value over and over.
+    open_puts = attach(followed, spans(oplog), ["tx_id"], "tx_ops", ["seq"], hot_rows).select(
+        *slot_value,
         F.col("tx_id").alias("writer"),
         F.col("seq").alias("write_seq"),
-        F.col("tx_end").alias("commit_seq"),
+        F.coalesce("next_seq", "tx_end").alias("until_seq"),
     )
     reads = oplog.filter(is_read()).select(
-        *SLOT, "value", F.col("tx_id").alias("reader"), F.col("seq").alias("read_seq")
-    )
-    pairs = stab(
-        reads, open_puts, [*SLOT, "value"], "read_seq", "write_seq", "commit_seq"
+        *slot_value, F.col("tx_id").alias("reader"), F.col("seq").alias("read_seq")
     )
+    pairs = stab(reads, open_puts, slot_value, "read_seq", "write_seq", "until_seq")
     return pairs.filter("reader <> writer").select(
-        *SLOT, "value", "reader", "read_seq", "writer", "write_seq"
+        *slot_value, "reader", "read_seq", "writer", "write_seq"
     )
 
 

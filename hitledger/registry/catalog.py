@@ -75,7 +75,16 @@ def parse_strict(spark, sf_dir):
 
 def parse_loose(spark, sf_dir):
     rows = logline.parse(access_log(spark, sf_dir), "loose", keep=("event_id",))
-    return rows.select("event_id", "url", F.col("status").cast("string").alias("status"), "day")
+    return logline.mapper_rows(rows, keep=("event_id",))
+
+
+def intermediate_rows(spark, sf_dir):
+    """The page hits of the loose parser, out to tab-separated files and back."""
+    hits = logline.parse(access_log(spark, sf_dir), "loose", pages="suffix")
+    path = scratch(spark, "intermediate")
+    tables.write_text(logline.tab_lines(logline.mapper_rows(hits)), path)
+    good, _ = logline.from_tab_lines(text.read_lines(spark, path))
+    return good.groupBy("url", "status", "day").agg(F.count("*").alias("count"))
 
 
 def parse_stream(spark, sf_dir):
@@ -308,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "report_file": report_file,
     "parse_strict": parse_strict,
     "parse_loose": parse_loose,
+    "intermediate_rows": intermediate_rows,
     "parse_stream": parse_stream,
     "event_times": event_times,
     "bad_lines": bad_lines,

@@ -172,6 +172,12 @@ select unnest(string_split({_block(REPORT_LABELS)}, chr(10))) as line from repor
 select event_id, {_group(LOOSE, 2)} as url, {_group(LOOSE, 3)} as status,
   split_part({_group(LOOSE, 1)}, ':', 1) as day
 from access_log where regexp_matches(value, '{LOOSE}')""",
+    "intermediate_rows": f"""with {_LOG},
+loose as (select {_group(LOOSE, 2)} as url, {_group(LOOSE, 3)} as status,
+  split_part({_group(LOOSE, 1)}, ':', 1) as day
+  from access_log where regexp_matches(value, '{LOOSE}'))
+select url, status, day, count(*) as count from loose
+where lower(url) like '%.html' or lower(url) like '%.htm' group by url, status, day""",
     "parse_stream": f"with {_LOG}, {_STREAM_ROWS} select * exclude (ts) from stream_rows",
     "event_times": f"""with {_LOG}, {_STREAM_ROWS}
 select event_id, cast(epoch(date_trunc('second', ts) + interval 4 hour) as bigint)
@@ -259,11 +265,12 @@ where p.reader < p.writer and not exists (select 1 from t x join t y
   where x.tx_id = p.reader and y.tx_id = p.writer and x.w and y.w)""",
     "dirty_reads": f"""with {_OPS}, {_TOUCH}
 select r.node, r.key, r.value, r.tx_id as reader, r.seq as read_seq,
-  w.tx_id as writer, w.seq as write_seq
+  w.tx_id as writer, max(w.seq) as write_seq
 from oplog r join oplog w on w.node = r.node and w.key = r.key and w.value = r.value
   and w.tx_id <> r.tx_id and w.seq < r.seq
 join span s on s.tx_id = w.tx_id and r.seq <= s.z
-where r.op = 'read' and w.op = 'put'""",
+where r.op = 'read' and w.op = 'put'
+group by r.node, r.key, r.value, r.tx_id, r.seq, w.tx_id""",
     "non_repeatable_reads": f"""with {_OPS}
 select tx_id, node, key, count(distinct coalesce(value, '')) filter (op = 'read') as read_values
 from oplog group by tx_id, node, key

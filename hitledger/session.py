@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Spares a look at the Python call stack for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hitledger.functions.record import split_records
 from hitledger.operators.upsert import latest, upsert
+from hitledger.sources.tables import append_jdbc
 
 
 def changelog_writer(path: str) -> Callable[[DataFrame, int], None]:
@@ -52,6 +53,14 @@ def upsert_writer(
     return write
 
 
+def jdbc_writer(
+    url: str, table: str, properties: dict[str, str]
+) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: append each micro-batch to a database table without a key. A
+    batch that is run again is appended again; where that matters use ``changelog_writer``."""
+    return lambda batch, batch_id: append_jdbc(batch, url, table, properties)
+
+
 def table_from_topic(
     path: str,
     bad_path: str,

@@ -117,6 +117,7 @@ def test_days_and_times(lines):
     rows = {r["timestamp"]: r for r in logline.parse(df).collect()}
     assert str(rows[T]["date"]) == "1995-08-01" and rows[T]["bytes"] == 0
     assert rows["31/Feb/1995:00:00:01 -0400"]["date"] is None
+    assert str(logline.parse(df, "stream").select(logline.day_date().alias("d")).agg(F.max("d")).first()[0]) == "1995-08-01"
     stream = logline.parse(df, "stream").select(
         "timestamp", logline.day_text().alias("day"), logline.event_time().alias("at"),
         F.unix_timestamp(logline.event_time()).alias("epoch"),
@@ -146,3 +147,14 @@ def test_flags(spark):
 def test_unknown_mode(lines):
     with pytest.raises(ValueError):
         logline.parse(lines("x"), "other")
+
+
+def test_intermediate_lines(lines):
+    hits = logline.parse(lines(EDGES[0][0], EDGES[4][0]), "loose")
+    text = logline.tab_lines(logline.mapper_rows(hits))
+    assert sorted(r.value for r in text.collect()) == ["/A.HTM\t404\t01/Aug/1995", "/a.html\t200\t01/Aug/1995"]
+    broken = lines("a\tb", "a\tb\tc\td", "", " /x.htm\t200\t01/Aug/1995 \r")
+    good, bad = logline.from_tab_lines(text.unionByName(broken))
+    assert sorted(r.url for r in good.collect()) == ["/A.HTM", "/a.html", "/x.htm"]
+    assert sorted(r.value for r in bad.collect()) == ["", "a\tb", "a\tb\tc\td"]
+    assert {r.status for r in good.collect()} == {"200", "404"}
