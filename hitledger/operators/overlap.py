@@ -26,28 +26,23 @@ def stab(
     low: str,
     high: str,
     min_level: int = MIN_LEVEL,
+    widths: DataFrame | None = None,
 ) -> DataFrame:
     """All (point, span) with ``low < at <= high`` and equal ``keys``.
 
     Columns of both sides are kept; apart from the keys their names must differ.
+    ``widths`` may name a smaller table with the columns ``low`` and ``high`` in which
+    every length of ``spans`` occurs; the cell widths in use are then taken from there.
     """
     length = F.col(high) - F.col(low)
     bits = F.when(length <= 1, 0).otherwise(F.length(F.bin(length - 1)))
     level = F.greatest((F.ceil(bits / STEP) * STEP).cast("int"), F.lit(min_level))
-    filed = (
-        spans.filter(length > 0)
-        .withColumn("__level", level)
-        .withColumn(
-            "__cell",
-            F.explode(
-                F.expr(
-                    f"sequence(shiftright({low} + 1, __level), shiftright({high}, __level))"
-                )
-            ),
-        )
-    )
+    leveled = spans.filter(length > 0).withColumn("__level", level)
+    cells = f"sequence(shiftright({low} + 1, __level), shiftright({high}, __level))"
+    filed = leveled.withColumn("__cell", F.explode(F.expr(cells)))
     # At most 64 widths exist, whatever the data.
-    levels = filed.agg(F.collect_set("__level")).scalar()
+    measured = leveled if widths is None else widths.filter(length > 0)
+    levels = measured.agg(F.collect_set(level)).scalar()
     # The outer form of explode: the other one adds a filter on the subquery that moves
     # down to the scan, which then differs from the scan of the spans and is not shared.
     looking = (

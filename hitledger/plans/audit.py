@@ -30,7 +30,7 @@ def lock_conflicts(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return pairs.select(*SLOT, "holder", "blocked")
 
 
-def _overlapping(touched: DataFrame) -> DataFrame:
+def _overlapping(touched: DataFrame, all_spans: DataFrame) -> DataFrame:
     """Pairs of transactions that touch the same slot while both are open: the later one
     starts within the span of the earlier one. Column names end in _1 and _2."""
     columns = ["tx_id", "tx_start", "tx_end", "reads", "writes"]
@@ -38,13 +38,18 @@ def _overlapping(touched: DataFrame) -> DataFrame:
     def side(n: int) -> DataFrame:
         return touched.select(*SLOT, *(F.col(c).alias(f"{c}_{n}") for c in columns))
 
-    return stab(side(2), side(1), SLOT, "tx_start_2", "tx_start_1", "tx_end_1")
+    widths = all_spans.select(
+        F.col("tx_start").alias("tx_start_1"), F.col("tx_end").alias("tx_end_1")
+    )
+    return stab(
+        side(2), side(1), SLOT, "tx_start_2", "tx_start_1", "tx_end_1", widths=widths
+    )
 
 
 def write_conflicts(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Transactions open at the same time that write the same slot."""
     written = with_span(touches(oplog).filter("writes"), oplog, hot_rows)
-    return _overlapping(written).select(
+    return _overlapping(written, spans(oplog)).select(
         *SLOT, F.col("tx_id_1").alias("first_tx"), F.col("tx_id_2").alias("second_tx")
     )
 
@@ -57,7 +62,7 @@ def write_skew_pairs(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     pair shows all bits of its slots.
     """
     touched = with_span(touches(oplog), oplog, hot_rows).filter("tx_committed")
-    pairs = _overlapping(touched)
+    pairs = _overlapping(touched, spans(oplog).filter("tx_committed"))
     smaller_first = F.col("tx_id_1") < F.col("tx_id_2")
     one_reads = F.col("reads_1") & F.col("writes_2")
     two_reads = F.col("reads_2") & F.col("writes_1")
