@@ -12,6 +12,9 @@ STREAM = r'^(\S+) - - \[(.*?)\] "(.*?) (.*?) (.*?)" (\d+) (\d+|-)'
 DAY_FORMAT = "dd/MMM/yyyy"
 TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 
+# Month names as a log writes them.
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+
 # Page filters.
 PAGE_REGEX = r"(?i)\.html?$"
 PAGE_SUFFIXES = (".html", ".htm")

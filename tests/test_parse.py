@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from hitledger.constants import LOOSE, STREAM, STRICT
+from hitledger.constants import LOOSE, MONTHS, STREAM, STRICT
 from hitledger.functions import logline
 from hitledger.functions.pages import is_page, with_flags
 
@@ -128,6 +128,20 @@ def test_days_and_times(lines):
     assert times["31/Feb/1995:00:00:01 -0400"]["at"] is None
 
 
+def test_strict_day_equals_the_date_pattern(spark):
+    texts = [
+        f"{d:02d}/{m}/{y}"
+        for d in range(0, 33)
+        for m in (*MONTHS, "AUG", "aug", "Foo", "12_")
+        for y in ("1995", "1996", "2000", "1900", "0000", "0001", "9999")
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", logline.strict_day(F.col("t")).alias("fast"), logline.day_date("t").alias("plain")
+    )
+    assert df.filter("not (fast <=> plain)").collect() == []
+    assert df.filter("fast is not null").count() > 2000
+
+
 def test_page_rules_disagree(spark):
     urls = ["/a.html", "/A.HTM", "/a.html?q", "/a.HTML", "/a.htm", "/ahtml", "/a.gif", ""]
     df = spark.createDataFrame([(u,) for u in urls], "url string")
