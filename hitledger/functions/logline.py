@@ -181,7 +181,7 @@ def _page(rule: str) -> Column:
     return is_page("url", rule) & F.col("url").isNotNull()
 
 
-def mapper_rows(hits: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def intermediate(hits: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Loose rows as the text fields of the tab-separated intermediate file."""
     return hits.select(*keep, "url", F.col("status").cast("string").alias("status"), "day")
 

@@ -29,10 +29,13 @@ def running_count(
     out: str,
     chunk: int = CHUNK,
     sized_by: list[str] | None = None,
+    sized_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with ``flag`` up to and including this one, within ``keys``."""
     rows = df.withColumn("__in", F.when(flag, 1).otherwise(0).cast("long"))
-    return _running(rows, keys, [position], F.sum("__in"), F.sum, 0, out, chunk, sized_by)
+    return _running(
+        rows, keys, [position], F.sum("__in"), F.sum, 0, out, chunk, sized_by, sized_from
+    )
 
 
 def last_before(
@@ -43,6 +46,7 @@ def last_before(
     out: str,
     chunk: int = CHUNK,
     sized_by: list[str] | None = None,
+    sized_from: DataFrame | None = None,
 ) -> DataFrame:
     """The last non-null ``value`` strictly before this row, within ``keys``.
 
@@ -59,6 +63,7 @@ def last_before(
         out,
         chunk,
         sized_by,
+        sized_from,
     )
 
 
@@ -72,11 +77,13 @@ def _running(
     out: str,
     chunk: int,
     sized_by: list[str] | None,
+    sized_from: DataFrame | None,
 ) -> DataFrame:
     """``sized_by``: some of ``keys``, whose groups decide what is hot. Coarser groups are
-    fewer to count; the groups of ``keys`` within are no larger."""
+    fewer to count; the groups of ``keys`` within are no larger. ``sized_from``: a table
+    with at least as many rows per group as ``rows``, where that is easier to count."""
     sized_by = sized_by or keys
-    sizes = rows.groupBy(*sized_by).agg(F.count("*").alias("__size"))
+    sizes = (rows if sized_from is None else sized_from).groupBy(*sized_by).agg(F.count("*").alias("__size"))
     hot = hot_keys(sizes, sized_by, "__size", chunk)
     position = F.col(order[0])
     rows = rows.join(hot, sized_by, "left").withColumn(

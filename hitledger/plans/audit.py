@@ -85,11 +85,34 @@ def write_skew_pairs(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
-def dirty_reads(
+def dirty_reads(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Reads that return what another transaction has put but not yet committed: one row
+    per read and such put. Where one transaction puts the same value to a busy key many
+    times, ``dirty_reads_by_writer`` says the same in fewer rows."""
+    puts = oplog.filter(is_put()).select("tx_id", *SLOT, "seq", "value")
+    open_puts = attach(puts, spans(oplog), ["tx_id"], "tx_ops", ["seq"], hot_rows).select(
+        *SLOT,
+        "value",
+        F.col("tx_id").alias("writer"),
+        F.col("seq").alias("write_seq"),
+        F.col("tx_end").alias("commit_seq"),
+    )
+    reads = oplog.filter(is_read()).select(
+        *SLOT, "value", F.col("tx_id").alias("reader"), F.col("seq").alias("read_seq")
+    )
+    pairs = stab(
+        reads, open_puts, [*SLOT, "value"], "read_seq", "write_seq", "commit_seq"
+    )
+    return pairs.filter("reader <> writer").select(
+        *SLOT, "value", "reader", "read_seq", "writer", "write_seq"
+    )
+
+
+def dirty_reads_by_writer(
     oplog: DataFrame, hot_rows: int = HOT_ROWS, chunk: int = CHUNK
 ) -> DataFrame:
-    """Reads that return what another transaction has put but not yet committed: one row
-    per read and writing transaction, with the last such put before the read.
+    """Dirty reads, one row per read and writing transaction, with the last such put
+    before the read.
 
     A put counts until the same transaction puts the same value there again, or commits.
     So these intervals do not overlap, and a transaction that puts a value a thousand
@@ -136,7 +159,14 @@ def phantom_reads(oplog: DataFrame, chunk: int = CHUNK) -> DataFrame:
     ops = oplog.filter(is_put() | is_read()).select("seq", "tx_id", "node", "op")
     counted = running_count(ops, ["node"], "seq", is_put(), "all_puts", chunk)
     counted = running_count(
-        counted, ["tx_id", "node"], "seq", is_put(), "own_puts", chunk, sized_by=["tx_id"]
+        counted,
+        ["tx_id", "node"],
+        "seq",
+        is_put(),
+        "own_puts",
+        chunk,
+        sized_by=["tx_id"],
+        sized_from=ops,
     )
     others = F.when(is_read(), F.col("all_puts") - F.col("own_puts"))
     return (

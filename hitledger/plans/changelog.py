@@ -64,7 +64,9 @@ def resolve_reads(
     line = reads.withColumn("is_commit", F.lit(False)).unionByName(
         commits.withColumn("is_commit", F.lit(True)), allowMissingColumns=True
     )
-    based = last_before(line, SLOT, ["seq", "is_commit"], F.col("written"), "base", chunk)
+    based = last_before(
+        line, SLOT, ["seq", "is_commit"], F.col("written"), "base", chunk, sized_from=oplog
+    )
     return based.filter("not is_commit").select(
         "seq", "tx_id", *SLOT, F.coalesce("own", "base", F.lit("")).alias("value")
     )

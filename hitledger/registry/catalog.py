@@ -75,14 +75,14 @@ def parse_strict(spark, sf_dir):
 
 def parse_loose(spark, sf_dir):
     rows = logline.parse(access_log(spark, sf_dir), "loose", keep=("event_id",))
-    return logline.mapper_rows(rows, keep=("event_id",))
+    return logline.intermediate(rows, keep=("event_id",))
 
 
 def intermediate_rows(spark, sf_dir):
     """The page hits of the loose parser, out to tab-separated files and back."""
     hits = logline.parse(access_log(spark, sf_dir), "loose", pages="suffix")
     path = scratch(spark, "intermediate")
-    tables.write_text(logline.tab_lines(logline.mapper_rows(hits)), path)
+    tables.write_text(logline.tab_lines(logline.intermediate(hits)), path)
     good, _ = logline.from_tab_lines(text.read_lines(spark, path))
     return good.groupBy("url", "status", "day").agg(F.count("*").alias("count"))
 
@@ -346,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "write_conflicts": on_oplog(audit.write_conflicts),
     "write_skew_pairs": on_oplog(audit.write_skew_pairs),
     "dirty_reads": on_oplog(audit.dirty_reads),
+    "dirty_reads_by_writer": on_oplog(audit.dirty_reads_by_writer),
     "non_repeatable_reads": on_oplog(audit.non_repeatable_reads),
     "phantom_reads": on_oplog(audit.phantom_reads),
     "filtered_count": filtered_count,

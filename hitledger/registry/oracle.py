@@ -264,6 +264,13 @@ where p.reader < p.writer and not exists (select 1 from t x join t y
   on x.node = y.node and x.key = y.key
   where x.tx_id = p.reader and y.tx_id = p.writer and x.w and y.w)""",
     "dirty_reads": f"""with {_OPS}, {_TOUCH}
+select r.node, r.key, r.value, r.tx_id as reader, r.seq as read_seq,
+  w.tx_id as writer, w.seq as write_seq
+from oplog r join oplog w on w.node = r.node and w.key = r.key and w.value = r.value
+  and w.tx_id <> r.tx_id and w.seq < r.seq
+join span s on s.tx_id = w.tx_id and r.seq <= s.z
+where r.op = 'read' and w.op = 'put'""",
+    "dirty_reads_by_writer": f"""with {_OPS}, {_TOUCH}
 select r.node, r.key, r.value, r.tx_id as reader, r.seq as read_seq,
   w.tx_id as writer, max(w.seq) as write_seq
 from oplog r join oplog w on w.node = r.node and w.key = r.key and w.value = r.value

@@ -125,6 +125,18 @@ def write_skew_pairs(rows):
 
 
 def dirty_reads(rows):
+    span = spans(rows)
+    return sorted(
+        (*slot(r), r["value"], r["tx_id"], r["seq"], w["tx_id"], w["seq"])
+        for r in rows
+        for w in rows
+        if r["op"] == "read" and w["op"] == "put"
+        and r["tx_id"] != w["tx_id"] and slot(r) == slot(w) and r["value"] == w["value"]
+        and w["seq"] < r["seq"] <= span[w["tx_id"]][1]
+    )
+
+
+def dirty_reads_by_writer(rows):
     span, last = spans(rows), {}
     for r in rows:
         for w in rows:

@@ -19,7 +19,8 @@ SPLIT = {
     "lock_conflicts": {"hot_rows": 4},
     "write_conflicts": {"hot_rows": 4},
     "write_skew_pairs": {"hot_rows": 4},
-    "dirty_reads": {"hot_rows": 4, "chunk": 8},
+    "dirty_reads": {"hot_rows": 4},
+    "dirty_reads_by_writer": {"hot_rows": 4, "chunk": 8},
     "non_repeatable_reads": {},
     "phantom_reads": {"chunk": 8},
 }
