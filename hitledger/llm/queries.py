@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hitledger.llm import lines, shards, urls
+from hitledger.llm import language, lines, shards, urls
 from hitledger.llm.frames import table
 
 # The rules of the URL query: fixed values.
@@ -16,6 +16,14 @@ URL_RULES = [
 ]
 
 
+def op1_language_id(spark, sf_dir):
+    """The language of every document, learned from those that are not held out."""
+    documents = table(spark, sf_dir, "documents").withColumn("held_out", language.held_out(F.col("doc_id")))
+    model = language.train(documents.filter(~F.col("held_out")))
+    found = language.identify(documents.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_line_dedup(spark, sf_dir):
     """Each document's text without the lines that stand on ten sources or more."""
     cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
@@ -43,6 +51,7 @@ def op9_sharding(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filters": op7_url_filters,
     "op9_sharding": op9_sharding,
