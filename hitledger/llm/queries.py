@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hitledger.llm import language, lines, shards, urls
+from hitledger.llm import decontaminate, language, lines, shards, urls
 from hitledger.llm.frames import table
 
 # The rules of the URL query: fixed values.
@@ -24,6 +24,13 @@ def op1_language_id(spark, sf_dir):
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_decontamination(spark, sf_dir):
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", *decontaminate.ADDED)
+
+
 def op6_line_dedup(spark, sf_dir):
     """Each document's text without the lines that stand on ten sources or more."""
     cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
@@ -52,12 +59,33 @@ def op9_sharding(spark, sf_dir):
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_decontamination": op2_decontamination,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filters": op7_url_filters,
     "op9_sharding": op9_sharding,
 }
 
 ORACLE = {
+    "op2_decontamination": r"""
+with folded as (select doc_id, [x for x in string_split_regex(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> ''] as w from documents),
+items as (select cast(item_id as varchar) as item, [x for x in string_split_regex(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> ''] as w from benchmark),
+item_starts as (select item, w, least(len(w), 10) as n, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i
+  from items where len(w) > 0),
+windows as (select distinct item, n, array_to_string(w[i:i + n - 1], ' ') as said from item_starts),
+lengths as (select distinct n from windows),
+doc_starts as (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from folded, lengths where len(w) >= n),
+places as (select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as said from doc_starts),
+hits as (select p.doc_id, p.i, p.n, w.item from places p join windows w on p.n = w.n and p.said = w.said),
+hit_words as (select doc_id, count(distinct k) as n_hit from
+  (select doc_id, unnest(range(i, i + n)) as k from hits) group by doc_id),
+hit_items as (select doc_id, count(distinct item) as n_items,
+  string_agg(distinct item, ',' order by item) as named from hits group by doc_id)
+select f.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(named, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from folded f left join hit_words using (doc_id) left join hit_items using (doc_id)
+""",
     "op6_line_dedup": r"""
 with docs as (select doc_id, source, coalesce(text, '') as text from documents),
 split as (select doc_id, source, unnest(string_split(text, chr(10))) as line,
