@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hitledger.llm import decontaminate, language, lines, shards, urls
+from hitledger.llm import decontaminate, language, lines, near_duplicates, shards, urls
 from hitledger.llm.frames import table
 
 # The rules of the URL query: fixed values.
@@ -31,6 +31,11 @@ def op2_decontamination(spark, sf_dir):
     return found.select("doc_id", *decontaminate.ADDED)
 
 
+def op3_near_dedup(spark, sf_dir):
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *near_duplicates.ADDED)
+
+
 def op6_line_dedup(spark, sf_dir):
     """Each document's text without the lines that stand on ten sources or more."""
     cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
@@ -60,6 +65,7 @@ def op9_sharding(spark, sf_dir):
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
+    "op3_near_dedup": op3_near_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filters": op7_url_filters,
     "op9_sharding": op9_sharding,
@@ -85,6 +91,22 @@ hit_items as (select doc_id, count(distinct item) as n_items,
 select f.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
   sha256(coalesce(named, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from folded f left join hit_words using (doc_id) left join hit_items using (doc_id)
+""",
+    "op3_near_dedup": r"""
+with recursive folded as (select doc_id, [x for x in string_split_regex(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] as w from documents),
+starts as (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from folded where len(w) > 0),
+shingles as (select distinct doc_id, array_to_string(w[i:i + 4], ' ') as s from starts),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b using (s)
+  where a.doc_id <> b.doc_id group by all),
+links as (select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * c >= 75 * (x.n + y.n - c)),
+reach(doc_id, other) as (select doc_id, doc_id from documents
+  union select r.doc_id, l.b from reach r join links l on l.a = r.other),
+least as (select doc_id, min(other) as component_id from reach group by doc_id)
+select f.doc_id, coalesce(n, 0) as n_shingles, component_id, f.doc_id = component_id as kept
+from folded f join least using (doc_id) left join sizes using (doc_id)
 """,
     "op6_line_dedup": r"""
 with docs as (select doc_id, source, coalesce(text, '') as text from documents),
