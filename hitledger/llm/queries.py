@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hitledger.llm import decontaminate, language, lines, near_duplicates, shards, urls
+from hitledger.llm import bpe, decontaminate, language, lines, near_duplicates, shards, urls, word_pieces
 from hitledger.llm.frames import table
 
 # The rules of the URL query: fixed values.
@@ -36,6 +36,11 @@ def op3_near_dedup(spark, sf_dir):
     return found.select("doc_id", *near_duplicates.ADDED)
 
 
+def op5_token_counts(spark, sf_dir):
+    counted = word_pieces.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return counted.select("doc_id", "n_words", "n_tokens")
+
+
 def op6_line_dedup(spark, sf_dir):
     """Each document's text without the lines that stand on ten sources or more."""
     cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
@@ -48,6 +53,13 @@ def op7_url_filters(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_byte_bpe(spark, sf_dir):
+    encoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return encoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op9_sharding(spark, sf_dir):
     """Equal bytes; ``grown_shard`` belongs to another law and is null."""
     placed = shards.shard(table(spark, sf_dir, "documents"), shards=40)
@@ -66,8 +78,10 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
     "op3_near_dedup": op3_near_dedup,
+    "op5_token_counts": op5_token_counts,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filters": op7_url_filters,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_sharding": op9_sharding,
 }
 
