@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hitledger.llm import bpe, decontaminate, language, lines, near_duplicates, shards, urls, word_pieces
+from hitledger.llm import bpe, decontaminate, language, lines, near_duplicates, quality, shards, urls, word_pieces
 from hitledger.llm.frames import table
 
 # The rules of the URL query: fixed values.
@@ -36,6 +36,11 @@ def op3_near_dedup(spark, sf_dir):
     return found.select("doc_id", *near_duplicates.ADDED)
 
 
+def op4_quality_rules(spark, sf_dir):
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return judged.select("doc_id", *quality.ADDED)
+
+
 def op5_token_counts(spark, sf_dir):
     counted = word_pieces.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return counted.select("doc_id", "n_words", "n_tokens")
@@ -78,6 +83,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
     "op3_near_dedup": op3_near_dedup,
+    "op4_quality_rules": op4_quality_rules,
     "op5_token_counts": op5_token_counts,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filters": op7_url_filters,
