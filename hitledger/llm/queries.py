@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hitledger.llm import bpe, decontaminate, language, lines, near_duplicates, quality, shards, urls, word_pieces
+from hitledger.llm import bpe, decontaminate, language, lines, near_duplicates, quality, repeats, shards, urls, word_pieces
 from hitledger.llm.frames import table
 
 # The rules of the URL query: fixed values.
@@ -79,6 +79,11 @@ def op9_sharding(spark, sf_dir):
     )
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", *repeats.ADDED)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -89,6 +94,7 @@ QUERIES = {
     "op7_url_filters": op7_url_filters,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_sharding": op9_sharding,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE = {
