@@ -161,9 +161,20 @@ def _distinct(pairs: DataFrame) -> DataFrame:
     return stored(pairs.distinct(), "pairs")
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after the components on both sides of each link have become one. Only the
+    labels are linked with each other, so the graph shrinks from round to round."""
+    of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
+    between = links.join(of_a, "a").join(of_b, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    lower = components(stored(between.distinct(), "between"))
+    lower = lower.select(F.col("label").alias("lower"), F.col("node").alias("label"))
+    renamed = labels.join(lower, "label", "left").select("node", F.coalesce("lower", "label").alias("label"))
+    return stored(renamed, "labels")
+
+
 def links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """``node`` and ``label`` (the smallest node it is connected with) of all nodes that are
-    linked with another.
+    """``node`` and ``label``, the smallest node it is connected with, of all members.
 
     ``members`` has a row for each node of a bucket of two or more: ``band``, ``value``,
     ``node``, ``n`` (size of its set), and ``c_node``, ``c_n`` of the bucket's centre.
@@ -171,12 +182,13 @@ def links(members: DataFrame, sets: DataFrame) -> DataFrame:
     bucket = ["band", "value"]
     star = members.filter((F.col("node") != F.col("c_node")) & could_be(F.col("n"), F.col("c_n")))
     pairs = _distinct(star.select(F.col("c_node").alias("a"), F.col("node").alias("b")))
-    labels = components(confirmed(pairs, sets))
+    labels = members.select("node").distinct().select("node", F.col("node").alias("label"))
+    labels = joined(stored(labels, "labels"), confirmed(pairs, sets))
     members = members.select(*bucket, "node", "n")
     first, after = 1, 3
     while True:
         # Buckets whose members are not all in one component, with a centre left to try.
-        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        labelled = members.join(labels, "node")
         unsettled = (
             labelled.groupBy(*bucket)
             .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
@@ -197,8 +209,9 @@ def links(members: DataFrame, sets: DataFrame) -> DataFrame:
             .select(F.col("c_node").alias("a"), F.col("node").alias("b"))
         )
         if not pairs.isEmpty():
-            known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-            labels = components(confirmed(pairs, sets).union(known))
+            found = stored(confirmed(pairs, sets), "found")
+            if not found.isEmpty():
+                labels = joined(labels, found)
         members = open_.select(*bucket, "node", "n")
         first, after = after, 2 * after + 1
 
