@@ -246,12 +246,16 @@ def contamination(
         .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     )
     results = sized.distinct().join(words, key, "left").join(named, key, "left")
-    rows = documents.select(*without(documents, ADDED), *_keyed(documents, text, doc_id)).join(results, key, "left")
-    n_hit = F.coalesce("n_hit", F.lit(0))
-    items = F.coalesce("items", F.array().cast("array<string>"))
+    # Names of its own for what is joined to columns of the input.
+    results = results.select(*(F.col(c).alias(f"__{c}") for c in results.columns))
+    keys = [k.alias(f"__doc_{x}") for k, x in zip(_keyed(documents, text, doc_id), "ab", strict=True)]
+    rows = documents.select(*without(documents, ADDED), *keys).join(results, ["__doc_a", "__doc_b"], "left")
+    own = results.columns
+    n_hit = F.coalesce("__n_hit", F.lit(0))
+    items = F.coalesce("__items", F.array().cast("array<string>"))
     return rows.select(
-        *(c for c in rows.columns if c not in (*key, "n_words", "n_hit", "items")),
-        "n_words",
+        *(F.col(f"`{c}`") for c in rows.columns if c not in own),
+        F.col("__n_words").alias("n_words"),
         n_hit.alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),

@@ -115,16 +115,18 @@ def drop_boilerplate(
         .filter("any")
         .select("doc_a", "doc_b", F.transform(F.array_sort("marks"), lambda m: m["gone"]).alias("gone"))
     )
-    key = _document_key(documents[text], documents[doc_id])
+    # Names of its own for what is joined to columns of the input.
+    marks = marks.select(F.col("doc_a").alias("__doc_a"), F.col("doc_b").alias("__doc_b"), F.col("gone").alias("__gone"))
+    key = [k.alias(f"__doc_{x}") for k, x in zip(_document_key(documents[text], documents[doc_id]), "ab", strict=True)]
     kept = documents.select(*without(documents, ADDED), *key)
-    kept = kept.join(marks, ["doc_a", "doc_b"], "left")
-    lines = F.split(F.col(text), "\n")
-    pairs = F.arrays_zip(lines.alias("line"), F.col("gone").alias("gone"))
+    kept = kept.join(marks, ["__doc_a", "__doc_b"], "left")
+    lines, gone = F.split(F.col(text), "\n"), F.col("__gone")
+    pairs = F.arrays_zip(lines.alias("line"), gone.alias("gone"))
     left = F.transform(F.filter(pairs, lambda p: ~p["gone"]), lambda p: p["line"])
-    cleaned = F.when(F.col("gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    others = [c for c in kept.columns if c not in ("doc_a", "doc_b", "gone")]
+    cleaned = F.when(gone.isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    others = [c for c in kept.columns if c not in ("__doc_a", "__doc_b", "__gone")]
     return kept.select(
         *(cleaned.alias(c) if c.lower() == text.lower() else F.col(f"`{c}`") for c in others),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size(F.filter("gone", lambda g: g)), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size(F.filter(gone, lambda g: g)), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -32,7 +32,7 @@ HEAVY = 256
 # What a document costs besides the bytes of its text.
 OVERHEAD = 16
 
-ADDED = ("size", "text_crc32", "shard", "slot", "rows_before", "key")
+ADDED = ("size", "text_crc32", "shard", "slot")
 
 
 @dataclass
@@ -142,16 +142,18 @@ def shard(
     cells = keyed.select(shard_of(F.col("key"), cuts).alias("shard"), cell_of(F.col("key"), cuts).alias("cell"))
     cells = cells.groupBy("shard", "cell").agg(F.count("*").alias("rows"))
     earlier = Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select("shard", "cell", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("rows_before"))
+    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
+    cells = cells.select("shard", F.col("cell").alias("__cell"), before.alias("__before"))
 
     placed = documents.select(
         *without(documents, ADDED),
         size_of(documents[text]).alias("size"),
         F.crc32(F.coalesce(documents[text], F.lit("")).cast("binary")).alias("text_crc32"),
-        key.alias("key"),
+        shard_of(key, cuts).alias("shard"),
+        key.alias("__key"),
+        cell_of(key, cuts).alias("__cell"),
     )
-    placed = placed.withColumn("shard", shard_of(F.col("key"), cuts)).withColumn("cell", cell_of(F.col("key"), cuts))
-    placed = placed.join(cells, ["shard", "cell"])
-    inside = Window.partitionBy("shard", "cell").orderBy("key")
-    slot = F.col("rows_before") + F.row_number().over(inside) - 1
-    return placed.withColumn("slot", slot.cast("long")).drop("key", "cell", "rows_before")
+    inside = Window.partitionBy("shard", "__cell").orderBy("__key")
+    slot = F.col("__before") + F.row_number().over(inside) - 1
+    placed = placed.join(cells, ["shard", "__cell"]).withColumn("slot", slot.cast("long"))
+    return placed.drop("__key", "__cell", "__before")

@@ -125,12 +125,12 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
     as they are. Columns of the input named as one of the four are replaced.
     """
     placed = urls.select(*without(urls, ADDED), host_of(urls[url]).alias("host"), path_of(urls[url]).alias("path"))
-    won = match(placed, rules)
+    won = match(placed, rules).withColumnRenamed("action", "__action")
     judged = placed.join(won, ["host", "path"], "left")
     return judged.select(
         *without(placed, ("host", "path")),
         placed["host"],
         placed["path"],
         "rule",
-        F.coalesce("action", F.lit(default)).alias("verdict"),
+        F.coalesce("__action", F.lit(default)).alias("verdict"),
     )
