@@ -152,6 +152,10 @@ def build(counts: DataFrame) -> list[Level]:
         # At most 64^order rows.
         rows = table.select("code", "n").toArrow()
         codes, n = (np.asarray(rows.column(c).combine_chunks()).astype(np.int64) for c in ("code", "n"))
+        if order == 1:
+            # Symbols that no text has get their share of what was taken off the others.
+            absent = np.setdiff1d(np.arange(1 << SYMBOL_BITS), codes) if len(codes) else codes
+            codes, n = np.concatenate([codes, absent]), np.concatenate([n, np.zeros(len(absent), np.int64)])
         order_ = np.argsort(codes)
         codes, n = codes[order_], n[order_]
         off = taken[np.minimum(n, 3)]
