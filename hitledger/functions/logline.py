@@ -7,6 +7,9 @@ Three readings of a line exist and disagree on odd ones, so each is a named mode
 ``loose``   timestamp, url, status; the status may be the start of a longer number.
 ``stream``  the same seven fields as ``strict`` but with lazy request tokens.
 
+All have the ``date`` of the day text besides; ``loose`` has the status as it was written,
+too (``status_text``).
+
 Parsing is the costly part of every report: each field taken by a regular expression is
 one more run of it over the line. But a line without oddities has its fields between
 single spaces, and there the three readings agree. So one match test decides whether a
@@ -65,7 +68,7 @@ def status_code(text: Column) -> Column:
 
 
 def size_bytes(text: Column) -> Column:
-    return F.when(text == "-", 0).otherwise(text.try_cast("int"))
+    return F.when(text == "-", 0).otherwise(text.try_cast("bigint"))
 
 
 def day_text(timestamp: Column | str = "timestamp") -> Column:
@@ -138,12 +141,14 @@ def _timestamp() -> Column:
 
 
 def _loose() -> dict[str, Column]:
-    timestamp = _field(_timestamp(), "loose", 1)
+    timestamp, status = _field(_timestamp(), "loose", 1), _field(_token(8), "loose", 3)
     return {
         "timestamp": timestamp,
         "url": _field(_token(6), "loose", 2),
-        "status": status_code(_field(_token(8), "loose", 3)),
+        "status": status_code(status),
+        "status_text": status,
         "day": day_text(timestamp),
+        "date": day_date(timestamp),
     }
 
 
@@ -172,6 +177,8 @@ def _seven(mode: str) -> dict[str, Column]:
     columns["bytes"] = size_bytes(columns["bytes"])
     if mode == "strict":
         columns["date"] = strict_day(F.substring(_token(3), 2, 11))
+    else:
+        columns["date"] = day_date(columns["timestamp"])
     return columns
 
 
@@ -183,7 +190,7 @@ def _page(rule: str) -> Column:
 
 def intermediate(hits: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Loose rows as the text fields of the tab-separated intermediate file."""
-    return hits.select(*keep, "url", F.col("status").cast("string").alias("status"), "day")
+    return hits.select(*keep, "url", F.col("status_text").alias("status"), "day")
 
 
 def tab_lines(rows: DataFrame) -> DataFrame:
@@ -191,6 +198,12 @@ def tab_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat_ws("\t", "url", "status", "day").alias("value"))
 
 
+def from_intermediate(rows: DataFrame) -> DataFrame:
+    """Intermediate rows as hits a report can be made of: the status as a number, the day
+    as a date."""
+    return rows.withColumns({"status": status_code(F.col("status")), "date": day_date("day")})
+
+
 def from_tab_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Tab-separated lines back to fields, and apart from them the lines that do not have
     exactly three."""

@@ -16,7 +16,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("url", T.StringType()),
         T.StructField("protocol", T.StringType()),
         T.StructField("status", T.IntegerType()),
-        T.StructField("bytes", T.IntegerType()),
+        T.StructField("bytes", T.LongType()),
     ]
 )
 
@@ -35,6 +35,7 @@ TOPIC_SCHEMA = T.StructType(
         T.StructField("key", T.BinaryType()),
         T.StructField("value", T.BinaryType()),
         T.StructField("timestamp", T.TimestampType()),
+        T.StructField("offset", T.LongType()),
     ]
 )
 
@@ -87,10 +88,11 @@ def split_records(
     required: tuple[str, ...],
     key: str | None = None,
     upper: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Decoded records with all ``required`` fields, and the raw form of the rest."""
     raw = records.withColumn("__raw", F.struct(*records.columns))
-    rows = from_records(raw, schema, key, upper, keep=("__raw",))
+    rows = from_records(raw, schema, key, upper, keep=("__raw", *keep))
     complete = F.lit(True)
     for name in required:
         complete = complete & F.col(name).isNotNull()

@@ -10,6 +10,26 @@ from hitledger.constants import SIGMAS
 RULES = ("strict", "inclusive")
 
 
+def _days():
+    return (
+        Window.partitionBy("url")
+        .orderBy("date")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+
+
+def statistics(daily: DataFrame) -> DataFrame:
+    """Mean, both standard deviations and the distance from the mean, in one window."""
+    days = _days()
+    return daily.withColumns(
+        {
+            "avg": F.avg("count").over(days),
+            "std": F.stddev_samp("count").over(days),
+            "std_pop": F.stddev_pop("count").over(days),
+        }
+    ).withColumn("deviation", F.abs(F.col("count") - F.col("avg")))
+
+
 def anomalies(daily: DataFrame, rule: str = "strict", sigmas: float = SIGMAS) -> DataFrame:
     """Rate every day of ``daily`` (url, date, count).
 
@@ -21,11 +41,7 @@ def anomalies(daily: DataFrame, rule: str = "strict", sigmas: float = SIGMAS) ->
     The window holds one row per day of a URL, never its hits. It is ordered so that
     sums add up in the same order every time.
     """
-    days = (
-        Window.partitionBy("url")
-        .orderBy("date")
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
+    days = _days()
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}, expected one of {RULES}")
     spread = F.stddev_samp if rule == "strict" else F.stddev_pop

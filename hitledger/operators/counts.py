@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 from hitledger.constants import STATUSES, TOP_PAGES
 from hitledger.functions.pages import share, with_flags
 
-# Above this many keys a key list is joined by shuffle instead of broadcast.
-BROADCAST_KEYS = 10_000
-
-
 def url_counts(hits: DataFrame) -> DataFrame:
     return hits.groupBy("url").agg(F.count("*").alias("count"))
 
@@ -57,13 +53,14 @@ def top_in_group(
     )
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, k: int, key: str = "url") -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys``, which has at most ``k`` rows, one per key.
+def keep_keys(df: DataFrame, keys: DataFrame, key: str = "url") -> DataFrame:
+    """Rows of ``df`` whose key is in ``keys``, which has one row per key. Spark broadcasts
+    them if it measures them to be small.
 
     Written as an inner join: a semi join would be pushed below the aggregate that
     made ``df``, and the log would be parsed a second time.
     """
-    return df.join(F.broadcast(keys) if k <= BROADCAST_KEYS else keys, key)
+    return df.join(keys, key)
 
 
 def top_totals(counts: DataFrame, k: int = TOP_PAGES) -> DataFrame:

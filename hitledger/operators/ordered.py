@@ -1,12 +1,13 @@
 """Running values along an ordered log, for keys of any size.
 
-A window over a key sorts all rows of the key in one task. For hot keys the order axis is
-cut into chunks of ``chunk`` positions: an aggregate sums up each (key, chunk), a window
-over those summaries carries them forward, and the row-level window runs per (key, chunk)
-with the carried value as its first row. A key that is not hot is one chunk.
+A window over a key sorts all rows of the key in one task. So the order axis is cut into
+chunks: an aggregate sums up each (key, chunk), a window over those summaries carries them
+forward, and the row-level window runs per (key, chunk) with the carried value as its first
+row. Every key is cut, large or not, so no list of large ones is needed.
 
-Positions are the unique offsets of a log, so a chunk has at most ``chunk`` rows, and a
-key at most (length of the log / chunk) summaries.
+Chunks hold about ``chunk`` rows of the whole log. Their boundaries come from the data:
+quantiles cut the axis into ``PIECES`` of equal numbers of rows, and each piece is divided
+evenly. So positions may be dense offsets or sparse time stamps, with gaps and outliers.
 """
 
 from __future__ import annotations
@@ -16,9 +17,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitledger.operators.skew import HOT_ROWS, hot_keys
-
-CHUNK = HOT_ROWS
+CHUNK = 1_000_000
+# Pieces whose boundaries are quantiles.
+PIECES = 64
 
 
 def running_count(
@@ -28,13 +29,40 @@ def running_count(
     flag: Column,
     out: str,
     chunk: int = CHUNK,
-    sized_by: list[str] | None = None,
     sized_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows with ``flag`` up to and including this one, within ``keys``."""
     rows = df.withColumn("__in", F.when(flag, 1).otherwise(0).cast("long"))
+    return _running(rows, keys, [position], F.sum("__in"), F.sum, 0, out, chunk, sized_from)
+
+
+def total_before(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: Column,
+    out: str,
+    chunk: int = CHUNK,
+    sized_from: DataFrame | None = None,
+) -> DataFrame:
+    """The sum of ``value`` strictly before this row; null before the first."""
+    return _running(
+        df.withColumn("__in", value), keys, order, F.sum("__in"), F.sum, -1, out, chunk, sized_from
+    )
+
+
+def largest_before(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: Column,
+    out: str,
+    chunk: int = CHUNK,
+    sized_from: DataFrame | None = None,
+) -> DataFrame:
+    """The largest non-null ``value`` strictly before this row."""
     return _running(
-        rows, keys, [position], F.sum("__in"), F.sum, 0, out, chunk, sized_by, sized_from
+        df.withColumn("__in", value), keys, order, F.max("__in"), F.max, -1, out, chunk, sized_from
     )
 
 
@@ -45,7 +73,6 @@ def last_before(
     value: Column,
     out: str,
     chunk: int = CHUNK,
-    sized_by: list[str] | None = None,
     sized_from: DataFrame | None = None,
 ) -> DataFrame:
     """The last non-null ``value`` strictly before this row, within ``keys``.
@@ -62,11 +89,32 @@ def last_before(
         -1,
         out,
         chunk,
-        sized_by,
         sized_from,
     )
 
 
+def with_chunk(rows: DataFrame, position: str, sized_from: DataFrame, chunk: int) -> DataFrame:
+    """Rows with ``__chunk``, which never falls as positions rise.
+
+    The quantiles and the number of rows are one aggregate over ``position`` of
+    ``sized_from``, run as part of the query.
+    """
+    steps = F.array(*(F.lit(i / PIECES) for i in range(PIECES + 1)))
+    shape = sized_from.agg(
+        F.struct(F.percentile_approx(position, steps).alias("edges"), F.count("*").alias("rows"))
+    ).scalar()
+    # A column first: a subquery may not stand inside a higher-order function.
+    rows = rows.withColumn("__shape", shape)
+    edges, n, at = F.col("__shape.edges"), F.col("__shape.rows"), F.col(position)
+    piece = F.size(F.filter(edges, lambda edge: edge <= at))
+    piece = F.least(F.greatest(piece, F.lit(1)), F.lit(PIECES))
+    low, high = F.get(edges, piece - 1), F.get(edges, piece)
+    parts = F.ceil(n / (PIECES * chunk))
+    part = F.floor((at - low).cast("double") / (high - low + 1) * parts)
+    part = F.least(F.greatest(part, F.lit(0)), parts - 1)
+    return rows.withColumn("__chunk", F.when(n > chunk, piece * parts + part).otherwise(0)).drop("__shape")
+
+
 def _running(
     rows: DataFrame,
     keys: list[str],
@@ -76,24 +124,15 @@ def _running(
     until: int,
     out: str,
     chunk: int,
-    sized_by: list[str] | None,
     sized_from: DataFrame | None,
 ) -> DataFrame:
-    """``sized_by``: some of ``keys``, whose groups decide what is hot. Coarser groups are
-    fewer to count; the groups of ``keys`` within are no larger. ``sized_from``: a table
-    with at least as many rows per group as ``rows``, where that is easier to count."""
-    sized_by = sized_by or keys
-    sizes = (rows if sized_from is None else sized_from).groupBy(*sized_by).agg(F.count("*").alias("__size"))
-    hot = hot_keys(sizes, sized_by, "__size", chunk)
-    position = F.col(order[0])
-    rows = rows.join(hot, sized_by, "left").withColumn(
-        "__chunk", F.when(F.col("__parts") > 0, F.floor(position / chunk)).otherwise(0)
-    )
+    """``sized_from``: a table with a column of the same positions that is cheaper to read
+    than ``rows``."""
+    rows = with_chunk(rows, order[0], rows if sized_from is None else sized_from, chunk)
     first = Window.unboundedPreceding
     earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(first, -1)
     carried = (
-        rows.filter("__parts > 0")
-        .groupBy(*keys, "__chunk")
+        rows.groupBy(*keys, "__chunk")
         .agg(summary.alias("__sum"))
         .select(*keys, "__chunk", fold(F.col("__sum")).over(earlier).alias("__in"))
         .filter("__in is not null")
@@ -105,8 +144,7 @@ def _running(
         .rowsBetween(first, until)
     )
     return (
-        rows.drop("__parts")
-        .withColumn("__row", F.lit(True))
+        rows.withColumn("__row", F.lit(True))
         .unionByName(carried, allowMissingColumns=True)
         .withColumn(out, fold(F.col("__in")).over(line))
         .filter("__row")

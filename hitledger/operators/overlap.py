@@ -2,8 +2,8 @@
 
 An equi-join on the keys alone would test every pair of a key. Here each interval is
 filed under a cell width next above its length (widths are powers of ``2**STEP``), so it
-touches two cells at most. A point looks into one cell per width in use. A pair therefore
-meets only if it lies within a few interval lengths, and a key with very many rows is
+touches two cells at most. A point looks into one cell for each width that occurs under its
+own keys. A pair therefore meets only if it lies within a few interval lengths, and a key with very many rows is
 spread over its cells. What is left in one place (long intervals of a busy key) is a
 plain shuffle join, both sides fresh from a shuffle, which AQE splits if it is skewed.
 """
@@ -26,13 +26,10 @@ def stab(
     low: str,
     high: str,
     min_level: int = MIN_LEVEL,
-    widths: DataFrame | None = None,
 ) -> DataFrame:
     """All (point, span) with ``low < at <= high`` and equal ``keys``.
 
     Columns of both sides are kept; apart from the keys their names must differ.
-    ``widths`` may name a smaller table with the columns ``low`` and ``high`` in which
-    every length of ``spans`` occurs; the cell widths in use are then taken from there.
     """
     length = F.col(high) - F.col(low)
     bits = F.when(length <= 1, 0).otherwise(F.length(F.bin(length - 1)))
@@ -40,18 +37,18 @@ def stab(
     leveled = spans.filter(length > 0).withColumn("__level", level)
     cells = f"sequence(shiftright({low} + 1, __level), shiftright({high}, __level))"
     filed = leveled.withColumn("__cell", F.explode(F.expr(cells)))
-    # At most 64 widths exist, whatever the data.
-    measured = leveled if widths is None else widths.filter(length > 0)
-    levels = measured.agg(F.collect_set(level)).scalar()
-    # The outer form of explode: the other one adds a filter on the subquery that moves
-    # down to the scan, which then differs from the scan of the spans and is not shared.
-    looking = (
-        points.withColumn("__levels", levels)
-        .withColumn("__level", F.explode_outer("__levels"))
-        .withColumn("__cell", F.expr(f"shiftright({at}, __level)"))
-        .drop("__levels")
-    )
     within = (F.col(low) < F.col(at)) & (F.col(at) <= F.col(high))
-    return looking.join(filed, [*keys, "__level", "__cell"]).filter(within).drop(
+    return copied(points, leveled, keys, at).join(filed, [*keys, "__level", "__cell"]).filter(within).drop(
         "__level", "__cell"
     )
+
+
+def copied(points: DataFrame, leveled: DataFrame, keys: list[str], at: str) -> DataFrame:
+    """A point once for each cell width of its keys (some 30 at most); none, no copy."""
+    levels = leveled.groupBy(*keys).agg(F.collect_set("__level").alias("__levels"))
+    return (
+        points.join(levels, keys)
+        .withColumn("__level", F.explode("__levels"))
+        .withColumn("__cell", F.expr(f"shiftright({at}, __level)"))
+        .drop("__levels")
+    )

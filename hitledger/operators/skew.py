@@ -1,8 +1,8 @@
-"""Keys that hold very many rows, and joining rows to the aggregates of their key.
+"""Joining rows to the aggregates of their key, with hot keys split over several tasks.
 
-A hot key is split over several tasks. Only the largest keys are, so the list of them
-that is broadcast has a fixed longest length; every key left whole holds less than a
-``HOT_KEYS``-th of all rows.
+How many parts a key gets follows from its size, so no part grows with the log. The list of
+hot keys has an entry per ``hot_rows`` rows of the log at most; Spark broadcasts it if it
+measures it to be small, and otherwise joins it by a shuffle that it can split.
 """
 
 from __future__ import annotations
@@ -10,21 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is hot.
+# A key with more rows than this is hot, and a part has about as many.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
 
 
-def hot_keys(
-    sizes: DataFrame, keys: list[str], size: str, hot_rows: int, limit: int = HOT_KEYS
-) -> DataFrame:
-    """The hot ones in ``sizes`` (one row per key), with the number of parts each needs,
-    marked for broadcast: ``limit`` rows at most."""
-    return F.broadcast(
-        sizes.filter(F.col(size) > hot_rows)
-        .orderBy(F.desc(size), *keys)
-        .limit(limit)
-        .select(*keys, F.ceil(F.col(size) / hot_rows).cast("int").alias("__parts"))
+def hot_keys(sizes: DataFrame, keys: list[str], size: str, hot_rows: int) -> DataFrame:
+    """All hot ones in ``sizes`` (one row per key), with the number of parts each needs."""
+    return sizes.filter(F.col(size) > hot_rows).select(
+        *keys, F.ceil(F.col(size) / hot_rows).cast("int").alias("__parts")
     )
 
 
@@ -51,9 +44,6 @@ def attach(
         .withColumn("__part", F.pmod(F.xxhash64(*spread), parts).cast("int"))
         .drop("__parts")
     )
-    copies = (
-        stats.join(hot, keys, "left")
-        .withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .drop("__parts")
-    )
+    size_parts = F.greatest(F.ceil(F.col(size) / hot_rows), F.lit(1)).cast("int")
+    copies = stats.withColumn("__part", F.explode(F.sequence(F.lit(0), size_parts - 1)))
     return rows.join(copies, [*keys, "__part"]).drop("__part")

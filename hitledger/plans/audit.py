@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.operators.ordered import CHUNK, last_before, running_count
+from hitledger.operators.ordered import CHUNK, largest_before, last_before, running_count, total_before
 from hitledger.operators.overlap import stab
 from hitledger.operators.skew import HOT_ROWS, attach
 from hitledger.plans.oplog import SLOT, is_put, is_read, is_write, spans, touches, with_span
 
 
 def lock_conflicts(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Who had to wait for whom. A transaction holds a slot from its first touch, a read
+    """Who had to wait for whom, all pairs. A transaction holds a slot from its first touch, a read
     included, to its commit point; whoever first touches it in between is blocked."""
     touched = touches(oplog).select("tx_id", *SLOT, "first_seq")
     holds = with_span(touched, oplog, hot_rows).select(
@@ -30,39 +30,69 @@ def lock_conflicts(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return pairs.select(*SLOT, "holder", "blocked")
 
 
-def _overlapping(touched: DataFrame, all_spans: DataFrame) -> DataFrame:
+def _waits(
+    arrivals: DataFrame, start: str, tx: str, waits_for: str, oplog: DataFrame, chunk: int
+) -> DataFrame:
+    """For each arrival at a slot (``start``, held to ``tx_end``) how many earlier ones are
+    still there, and which of these leaves last. No pairs are formed: what has come minus
+    what has gone, and the largest end so far."""
+    came = arrivals.select(*SLOT, "tx_id", F.col(start).alias("seq"), "tx_end", F.lit(0).alias("left"))
+    went = arrivals.select(*SLOT, "tx_id", F.col("tx_end").alias("seq"), "tx_end", F.lit(1).alias("left"))
+    change = F.when(F.col("left") == 0, 1).otherwise(-1).cast("long")
+    order = ["seq", "left"]
+    line = total_before(came.union(went), SLOT, order, change, "present", chunk, sized_from=oplog)
+    longest = F.when(F.col("left") == 0, F.struct("tx_end", "tx_id"))
+    line = largest_before(line, SLOT, order, longest, "longest", chunk, sized_from=oplog)
+    return line.filter("left = 0 and present > 0").select(
+        *SLOT, F.col("tx_id").alias(tx), F.col("present").alias("others"), F.col("longest.tx_id").alias(waits_for)
+    )
+
+
+def lock_waits(oplog: DataFrame, hot_rows: int = HOT_ROWS, chunk: int = CHUNK) -> DataFrame:
+    """``lock_conflicts`` with one row per slot and blocked transaction: the number of
+    holders it met, and the one it has to wait for longest. On a busy slot the pairs grow
+    with the square of the open transactions, these rows do not."""
+    touched = with_span(touches(oplog).select("tx_id", *SLOT, "first_seq"), oplog, hot_rows)
+    return _waits(touched, "first_seq", "blocked", "waits_for", oplog, chunk)
+
+
+def _overlapping(later: DataFrame, earlier: DataFrame) -> DataFrame:
     """Pairs of transactions that touch the same slot while both are open: the later one
-    starts within the span of the earlier one. Column names end in _1 and _2."""
+    starts within the span of the earlier one. Column names end in _1 (earlier) and _2."""
     columns = ["tx_id", "tx_start", "tx_end", "reads", "writes"]
 
-    def side(n: int) -> DataFrame:
+    def side(touched: DataFrame, n: int) -> DataFrame:
         return touched.select(*SLOT, *(F.col(c).alias(f"{c}_{n}") for c in columns))
 
-    widths = all_spans.select(
-        F.col("tx_start").alias("tx_start_1"), F.col("tx_end").alias("tx_end_1")
-    )
-    return stab(
-        side(2), side(1), SLOT, "tx_start_2", "tx_start_1", "tx_end_1", widths=widths
-    )
+    return stab(side(later, 2), side(earlier, 1), SLOT, "tx_start_2", "tx_start_1", "tx_end_1")
 
 
 def write_conflicts(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Transactions open at the same time that write the same slot."""
+    """Transactions open at the same time that write the same slot: all pairs."""
     written = with_span(touches(oplog).filter("writes"), oplog, hot_rows)
-    return _overlapping(written, spans(oplog)).select(
+    return _overlapping(written, written).select(
         *SLOT, F.col("tx_id_1").alias("first_tx"), F.col("tx_id_2").alias("second_tx")
     )
 
 
+def write_conflicts_by_tx(oplog: DataFrame, hot_rows: int = HOT_ROWS, chunk: int = CHUNK) -> DataFrame:
+    """``write_conflicts`` with one row per slot and later transaction: how many earlier
+    writers were open when it began, and the one that ended last."""
+    written = with_span(touches(oplog).filter("writes"), oplog, hot_rows)
+    return _waits(written, "tx_start", "second_tx", "last_tx", oplog, chunk)
+
+
 def write_skew_pairs(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Committed transactions, open at the same time, that each read what the other
     writes and write nothing in common.
 
     Every common slot says which of the three relations it shows, as one bit each; the
-    pair shows all bits of its slots.
+    pair shows all bits of its slots. A slot shows something only if one of the two writes
+    it, so transactions that only read it are never paired up.
     """
     touched = with_span(touches(oplog), oplog, hot_rows).filter("tx_committed")
-    pairs = _overlapping(touched, spans(oplog).filter("tx_committed"))
+    writers, readers = touched.filter("writes"), touched.filter("not writes")
+    pairs = _overlapping(touched, writers).union(_overlapping(writers, readers))
     smaller_first = F.col("tx_id_1") < F.col("tx_id_2")
     one_reads = F.col("reads_1") & F.col("writes_2")
     two_reads = F.col("reads_2") & F.col("writes_1")
@@ -121,7 +151,7 @@ def dirty_reads_by_writer(
     slot_value = [*SLOT, "value"]
     puts = oplog.filter(is_put()).select("tx_id", *slot_value, "seq", (-F.col("seq")).alias("back"))
     followed = last_before(
-        puts, ["tx_id", *slot_value], ["back"], F.col("seq"), "next_seq", chunk, sized_by=["tx_id"]
+        puts, ["tx_id", *slot_value], ["back"], F.col("seq"), "next_seq", chunk
     )
     # The seq spreads a transaction that puts one value over and over.
     open_puts = attach(followed, spans(oplog), ["tx_id"], "tx_ops", ["seq"], hot_rows).select(
@@ -157,16 +187,9 @@ def phantom_reads(oplog: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Nodes a transaction read more than once while others put keys there: the count of
     others' puts differs between its first and its last read."""
     ops = oplog.filter(is_put() | is_read()).select("seq", "tx_id", "node", "op")
-    counted = running_count(ops, ["node"], "seq", is_put(), "all_puts", chunk)
+    counted = running_count(ops, ["node"], "seq", is_put(), "all_puts", chunk, sized_from=oplog)
     counted = running_count(
-        counted,
-        ["tx_id", "node"],
-        "seq",
-        is_put(),
-        "own_puts",
-        chunk,
-        sized_by=["tx_id"],
-        sized_from=ops,
+        counted, ["tx_id", "node"], "seq", is_put(), "own_puts", chunk, sized_from=oplog
     )
     others = F.when(is_read(), F.col("all_puts") - F.col("own_puts"))
     return (

@@ -2,27 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitledger.operators.ordered import CHUNK, last_before
-from hitledger.operators.skew import HOT_ROWS, attach
-from hitledger.plans.oplog import SLOT, is_read, is_write, spans, with_span, written_value
+from hitledger.operators.skew import HOT_ROWS
+from hitledger.plans.oplog import SLOT, is_read, is_write, with_span, written_value
 
 
 def changelog_apply(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """State after all committed transactions, in commit order: the last write of every
     slot, unless it deletes."""
-    writes = oplog.filter(is_write()).select("tx_id", *SLOT, "seq", "op", "value")
-    # The seq spreads a transaction that writes a single key over and over.
-    done = attach(writes, spans(oplog), ["tx_id"], "tx_ops", ["seq"], hot_rows)
-    last = F.max_by(F.struct("op", "value"), F.struct("tx_end", "seq")).alias("last")
+    # The last write of each transaction and slot, before anything is joined to it.
+    writes = (
+        oplog.filter(is_write())
+        .groupBy("tx_id", *SLOT)
+        .agg(F.max(F.struct("seq", "op", "value")).alias("write"))
+    )
+    done = with_span(writes, oplog, hot_rows).filter("tx_committed")
+    last = Window.partitionBy(*SLOT).orderBy(F.desc("tx_end"))
     return (
-        done.filter("tx_committed")
-        .groupBy(*SLOT)
-        .agg(last)
-        .filter("last.op = 'put'")
-        .select(*SLOT, "last.value")
+        done.withColumn("place", F.row_number().over(last))
+        .filter("place = 1 and write.op = 'put'")
+        .select(*SLOT, "write.value")
     )
 
 
@@ -47,7 +49,7 @@ def resolve_reads(
         written_value(),
         "own",
         chunk,
-        sized_by=["tx_id"],
+        sized_from=oplog,
     )
     reads = own.filter(is_read()).select("tx_id", *SLOT, "seq", "own")
     last_writes = (

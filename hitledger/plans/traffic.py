@@ -14,6 +14,7 @@ from hitledger.constants import (
     TOP_PAGES,
 )
 from hitledger.functions.logline import parse
+from hitledger.functions.pages import with_flags
 from hitledger.operators import counts
 from hitledger.operators.anomaly import anomalies, only_anomalies
 
@@ -29,7 +30,7 @@ def top_pages(hits: DataFrame, k: int = TOP_PAGES) -> DataFrame:
 def top_page_anomalies(hits: DataFrame, rule: str = "strict", k: int = TOP_PAGES) -> DataFrame:
     """Anomalous days of the ``k`` most requested pages."""
     daily = counts.daily_counts(hits)
-    kept = counts.keep_keys(daily, counts.top_totals(daily, k), k)
+    kept = counts.keep_keys(daily, counts.top_totals(daily, k))
     return only_anomalies(anomalies(kept, rule)).orderBy("url", "date")
 
 
@@ -58,7 +59,7 @@ def url_report(
     cells = counts.rollup(hits)
     best = counts.top(counts.dense_statuses(cells, statuses), k, by="total")
     daily = cells.groupBy("url", "date").agg(F.sum("count").alias("count"))
-    rated = anomalies(counts.keep_keys(daily, best, k), rule)
+    rated = anomalies(counts.keep_keys(daily, best), rule)
     kind = F.when(F.col("is_anomaly"), F.col("type")).alias("type")
     return (
         rated.select(*best.columns, "date", F.col("count").alias("n"), kind)
@@ -143,3 +144,23 @@ def metrics_preview(table: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
 
 def total_errors(table: DataFrame) -> DataFrame:
     return table.agg(F.sum("error_count").alias("total_errors"))
+
+
+METRIC_COLUMNS = ("total_requests", "success_count", "error_count")
+
+
+def metrics_by_part(hits: DataFrame, part: str) -> DataFrame:
+    """Per URL the metrics of all hits and, named ``<part>_...``, of those where ``part``
+    holds, in one pass."""
+    flagged = with_flags(hits)
+    cells = {"total_requests": F.lit(1), "success_count": F.col("is_success"), "error_count": F.col("is_error")}
+    sums = [F.sum(cell).cast("long").alias(name) for name, cell in cells.items()]
+    parts = [F.coalesce(F.sum(F.when(F.col(part), cell)), F.lit(0)).cast("long").alias(f"{part}_{name}") for name, cell in cells.items()]
+    return flagged.groupBy("url").agg(*sums, *parts)
+
+
+def metric_columns(prefix: str) -> list[Column]:
+    """The columns of the metrics table from sums with a prefix."""
+    success, total = F.col(f"{prefix}success_count"), F.col(f"{prefix}total_requests")
+    rate = (success.cast("double") / total * 100).alias("success_rate_percent")
+    return [F.col("url"), *(F.col(f"{prefix}{name}").alias(name) for name in METRIC_COLUMNS), rate]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hitledger.functions import logline, record
 from hitledger.functions.pages import is_page
 from hitledger.operators import anomaly, counts, documents
-from hitledger.operators.upsert import set_where, upsert
+from hitledger.operators.upsert import latest, set_where
 from hitledger.plans import audit, changelog, traffic
 from hitledger.registry.bindings import access_log, access_log_stream, oplog, table
 from hitledger.session import scratch
@@ -42,15 +42,9 @@ def _rounded(rated: DataFrame) -> DataFrame:
 
 
 def daily_statistics(spark, sf_dir):
-    rated = anomaly.anomalies(counts.daily_counts(_hits(spark, sf_dir)), "strict")
-    population = anomaly.anomalies(counts.daily_counts(_hits(spark, sf_dir)), "inclusive")
-    keys = ["url", "date"]
-    joined = rated.select(*keys, "count", "avg", "std", "deviation").join(
-        population.select(*keys, F.col("std").alias("std_pop")), keys
-    )
-    return joined.select(
-        *keys, "count", *(F.round(c, 6).alias(c) for c in ("avg", "std", "std_pop", "deviation"))
-    )
+    rated = anomaly.statistics(counts.daily_counts(_hits(spark, sf_dir)))
+    rounded = (F.round(c, 6).alias(c) for c in ("avg", "std", "std_pop", "deviation"))
+    return rated.select("url", "date", "count", *rounded)
 
 
 def all_anomalies(rule: str) -> Query:
@@ -87,6 +81,25 @@ def intermediate_rows(spark, sf_dir):
     return good.groupBy("url", "status", "day").agg(F.count("*").alias("count"))
 
 
+def _loose_hits(spark, sf_dir):
+    """The loose parser's page hits, out to tab-separated files and back."""
+    hits = logline.parse(access_log(spark, sf_dir), "loose", pages="suffix")
+    path = scratch(spark, "intermediate")
+    tables.write_text(logline.tab_lines(logline.intermediate(hits)), path)
+    good, _ = logline.from_tab_lines(text.read_lines(spark, path))
+    return logline.from_intermediate(good)
+
+
+def url_report_loose(spark, sf_dir):
+    """The report as made by mapper and reducer: lines, tab-separated files, report."""
+    return traffic.with_day_text(traffic.url_report(_loose_hits(spark, sf_dir)))
+
+
+def anomalies_loose(spark, sf_dir):
+    hits = traffic.page_hits(access_log(spark, sf_dir), "loose", "suffix")
+    return _rounded(traffic.top_page_anomalies(hits, "inclusive"))
+
+
 def parse_stream(spark, sf_dir):
     return pipeline.log_records(access_log(spark, sf_dir), keep=("event_id",))
 
@@ -153,12 +166,16 @@ def replay(spark, sf_dir):
 
 
 def upsert_metrics(spark, sf_dir):
+    """State and batch come from one aggregate: per URL the counts up to the date, the
+    counts up to now, and whether it was seen since."""
     log = access_log(spark, sf_dir)
     since = F.lit(UPSERT_SINCE).cast("timestamp_ntz")
-    before = log.filter(F.col("ts") < since)
-    seen = traffic.page_hits(log.filter(F.col("ts") >= since), "stream", "contains")
-    fresh = traffic.metrics(log).join(seen.select("url").distinct(), "url", "left_semi")
-    return upsert(traffic.metrics(before), fresh, ["url"])
+    hits = logline.parse(log, "stream", pages="contains", keep=("ts",)).withColumn("old", F.col("ts") < since)
+    both = traffic.metrics_by_part(hits, "old")
+    old, new = (F.struct(F.lit(n).alias("version"), *traffic.metric_columns(p)) for n, p in ((0, "old_"), (1, "")))
+    was, seen = F.col("old_total_requests") > 0, F.col("total_requests") > F.col("old_total_requests")
+    changes = both.select(F.inline(F.filter(F.array(F.when(was, old), F.when(seen, new)), lambda row: row.isNotNull())))
+    return latest(changes, ["url"], "version").drop("version")
 
 
 def text_roundtrip(spark, sf_dir):
@@ -185,7 +202,7 @@ def topic_roundtrip(spark, sf_dir):
     records = record.to_records(pipeline.log_records(access_log(spark, sf_dir)))
     path = scratch(spark, "topic")
     topic.write_folder(records, path)
-    rows = record.from_records(topic.read_folder(spark, path), record.LOG_SCHEMA)
+    rows, _ = record.split_records(topic.read_folder(spark, path), record.LOG_SCHEMA, ("url",))
     out = scratch(spark, "table")
     sinks.run_to_table(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
     return tables.read_table(spark, f"{out}/rows")
@@ -224,15 +241,17 @@ def stream_metrics(spark, sf_dir):
 
 
 def stream_daily(spark, sf_dir):
-    rows = pipeline.windowed_metrics(pipeline.log_records(access_log_stream(spark, sf_dir)))
+    """All windows, those still open with ``final`` false."""
+    records = pipeline.log_records(access_log_stream(spark, sf_dir))
     out = scratch(spark, "table")
-    sinks.run_to_table(rows, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    return tables.read_table(spark, f"{out}/rows").select(
+    sinks.run_daily(records, f"{out}/windows", f"{out}/untimed", f"{out}/checkpoint").awaitTermination()
+    return sinks.read_daily(spark, f"{out}/windows").select(
         F.unix_timestamp("window_start").alias("window_start"),
         "url",
         "total_requests",
         "success_count",
         "error_count",
+        "final",
     )
 
 
@@ -312,6 +331,8 @@ QUERIES: dict[str, Query] = {
     "top_per_group": top_per_group,
     "url_report": url_report,
     "anomalous_reports": anomalous_reports,
+    "url_report_loose": url_report_loose,
+    "anomalies_loose": anomalies_loose,
     "report_lines": on_report(traffic.report_lines),
     "report_text": on_report(traffic.report_text),
     "report_file": report_file,
@@ -343,7 +364,9 @@ QUERIES: dict[str, Query] = {
     "resolve_reads": on_oplog(changelog.resolve_reads),
     "routed_ops": routed_ops,
     "lock_conflicts": on_oplog(audit.lock_conflicts),
+    "lock_waits": on_oplog(audit.lock_waits),
     "write_conflicts": on_oplog(audit.write_conflicts),
+    "write_conflicts_by_tx": on_oplog(audit.write_conflicts_by_tx),
     "write_skew_pairs": on_oplog(audit.write_skew_pairs),
     "dirty_reads": on_oplog(audit.dirty_reads),
     "dirty_reads_by_writer": on_oplog(audit.dirty_reads_by_writer),

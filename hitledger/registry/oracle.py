@@ -17,7 +17,7 @@ def _group(pattern: str, n: int) -> str:
 
 def _size(pattern: str) -> str:
     text = _group(pattern, 7)
-    return f"case when {text} = '-' then 0 else try_cast({text} as integer) end"
+    return f"case when {text} = '-' then 0 else try_cast({text} as bigint) end"
 
 
 _STRICT_ROWS = f"""strict_rows as (
@@ -118,10 +118,35 @@ pages as (select url, status, date_trunc('second', ts) + interval 4 hour as t
 windows as (select date_trunc('day', t) as d, url, count(*) as total_requests,
   cast(count(*) filter (status = 200) as bigint) as success_count,
   cast(count(*) filter (status >= 400) as bigint) as error_count from pages group by 1, 2)
-select cast(epoch(d) as bigint) as window_start, url, total_requests, success_count, error_count
-from windows where d + interval 1 day <= (select max(t) - interval 1 day from pages)"""
+select cast(epoch(d) as bigint) as window_start, url, total_requests, success_count, error_count,
+  d + interval 1 day <= (select max(t) - interval 1 day from pages) as final
+from windows"""
+
+_LOOSE_HITS = f"""{_LOG},
+hits as (select *, cast(try_strptime(left(t, 11), '%d/%b/%Y') as date) as date from (
+  select {_group(LOOSE, 1)} as t, {_group(LOOSE, 2)} as url, try_cast({_group(LOOSE, 3)} as integer) as status
+  from access_log where regexp_matches(value, '{LOOSE}'))
+  where lower(url) like '%.html' or lower(url) like '%.htm'),
+totals as (select url, count(*) as total from hits group by url),
+best as (select * from totals order by total desc, url limit 10)"""
+
+_LOOSE_REPORT = _REPORT.replace(_HITS, _LOOSE_HITS)
 
 ORACLE: dict[str, str] = {
+    "url_report_loose": f"""with {_LOOSE_REPORT}
+select * replace (coalesce(high, 'none') as high, coalesce(low, 'none') as low) from report""",
+    "anomalies_loose": _anomalies("inclusive", True).replace(_HITS, _LOOSE_HITS),
+    "lock_waits": f"""with {_OPS}, {_TOUCH}
+select a.node, a.key, b.tx_id as blocked, count(*) as others, arg_max(a.tx_id, s.z) as waits_for
+from touch a join span s on s.tx_id = a.tx_id
+join touch b on b.node = a.node and b.key = a.key and b.tx_id <> a.tx_id
+  and a.first < b.first and b.first <= s.z
+group by a.node, a.key, b.tx_id""",
+    "write_conflicts_by_tx": f"""with {_OPS}, {_TOUCH},
+wrote as (select t.tx_id, node, key, a, z from touch t join span using (tx_id) where w)
+select x.node, x.key, y.tx_id as second_tx, count(*) as others, arg_max(x.tx_id, x.z) as last_tx
+from wrote x join wrote y on y.node = x.node and y.key = x.key and x.a < y.a and y.a <= x.z
+group by x.node, x.key, y.tx_id""",
     "top_pages": f"with {_HITS} select url, total as count from best",
     "url_counts": _URL_COUNTS,
     "status_counts": f"""with {_HITS}

@@ -34,20 +34,19 @@ def append_jdbc(
 ) -> None:
     """Append to an existing database table without a key.
 
-    Needs the database's JDBC driver on the cluster. At most ``connections`` tasks
-    write at a time.
+    Needs the database's JDBC driver on the cluster. At most ``connections`` tasks write at
+    a time; the rows are shuffled ahead of that, so what made them runs in all tasks.
     """
-    writer = df.write.mode("append").option("numPartitions", connections)
+    writer = df.repartition(connections).write.mode("append")
     writer.jdbc(url, table, properties=properties)
 
 
-def write_by_node(oplog: DataFrame, path: str, files_per_node: int = 8) -> None:
+def write_by_node(oplog: DataFrame, path: str) -> None:
     """Each operation into the folder of the node it names."""
-    route(oplog, files_per_node).write.mode("overwrite").partitionBy("node").parquet(path)
+    route(oplog).write.mode("overwrite").partitionBy("node").parquet(path)
 
 
-def route(oplog: DataFrame, parts_per_node: int = 8) -> DataFrame:
-    """Operations of a node together, a node spread over several tasks: with few nodes
-    one task per node would leave the cluster idle and the largest node behind."""
-    part = F.pmod(F.xxhash64("tx_id", "key"), F.lit(parts_per_node))
-    return oplog.repartition("node", part)
+def route(oplog: DataFrame) -> DataFrame:
+    """Operations of a node together, in tasks of about equal size: a small node shares a
+    task, a large one is spread over as many as its size asks for."""
+    return oplog.hint("rebalance", "node")

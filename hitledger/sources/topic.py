@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from hitledger.functions.record import TOPIC_SCHEMA
@@ -53,5 +55,12 @@ def read_folder(
 
 
 def write_folder(records: DataFrame, path: str) -> None:
-    """Append records to a folder topic."""
-    records.write.mode("append").parquet(path)
+    """Append records to a folder topic. Offsets rise from one call to the next, and within
+    a call in the order of the rows."""
+    spark = records.sparkSession
+    try:
+        last = spark.read.schema(TOPIC_SCHEMA).parquet(path).agg(F.max("offset")).first()[0]
+    except AnalysisException:
+        last = None  # there is no such folder yet
+    offset = F.monotonically_increasing_id() + F.lit(-1 if last is None else last) + 1
+    records.withColumn("offset", offset).write.mode("append").parquet(path)

@@ -6,7 +6,7 @@ output mode and the sink.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitledger.constants import WINDOW
@@ -17,7 +17,7 @@ from hitledger.operators.counts import url_metrics
 
 def log_records(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Lines to the seven-field records of the log topic. Stateless."""
-    return parse(lines, "stream", keep=keep)
+    return parse(lines, "stream", keep=keep).drop("date")
 
 
 def page_stream(records: DataFrame) -> DataFrame:
@@ -35,21 +35,22 @@ def running_metrics(records: DataFrame) -> DataFrame:
     return url_metrics(records.filter(is_page("url", "contains")))
 
 
-def windowed_metrics(records: DataFrame, late: str = "1 day", width: str = WINDOW) -> DataFrame:
-    """Metrics per URL and tumbling window of log time. The watermark bounds the state:
-    a window is final, and written, once log time is ``late`` past its end."""
-    pages = (
+def _timed_pages(records: DataFrame) -> DataFrame:
+    return (
         with_flags(records.filter(is_page("url", "contains")))
         .withColumn("event_time", event_time())
         .filter("event_time is not null")
     )
+
+
+def _per_window(pages: DataFrame, width: str, *more: Column) -> DataFrame:
     return (
-        pages.withWatermark("event_time", late)
-        .groupBy(F.window("event_time", width).alias("window"), "url")
+        pages.groupBy(F.window("event_time", width).alias("window"), "url")
         .agg(
             F.count("*").alias("total_requests"),
             F.sum("is_success").alias("success_count"),
             F.sum("is_error").alias("error_count"),
+            *more,
         )
         .select(
             F.col("window.start").alias("window_start"),
@@ -58,5 +59,18 @@ def windowed_metrics(records: DataFrame, late: str = "1 day", width: str = WINDO
             "total_requests",
             "success_count",
             "error_count",
+            *(["last_hit"] if more else []),
         )
     )
+
+
+def daily_metrics(records: DataFrame, width: str = WINDOW) -> DataFrame:
+    """Metrics per URL and tumbling window of log time, and the time of the last hit."""
+    return _per_window(_timed_pages(records), width, F.max("event_time").alias("last_hit"))
+
+
+def windowed_metrics(records: DataFrame, late: str = "1 day", width: str = WINDOW) -> DataFrame:
+    """As ``daily_metrics``, but with state inside the stream, bounded by a watermark: in
+    append mode a window is written once log time is ``late`` past its end, later hits and
+    windows still open at the end of the stream are not. ``sinks.run_daily`` keeps both."""
+    return _per_window(_timed_pages(records).withWatermark("event_time", late), width)

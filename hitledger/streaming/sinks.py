@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from hitledger.constants import WINDOW
+from hitledger.functions.logline import event_time
 from hitledger.functions.record import split_records
-from hitledger.operators.upsert import latest, upsert
+from hitledger.operators.upsert import latest
 from hitledger.sources.tables import append_jdbc
+from hitledger.streaming.pipeline import daily_metrics
 
 
 def changelog_writer(path: str) -> Callable[[DataFrame, int], None]:
@@ -33,26 +37,6 @@ def read_changelog(
     return latest(rows, keys, "batch_id").select(*schema.fieldNames())
 
 
-def upsert_writer(
-    path: str, schema: T.StructType, keys: list[str]
-) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: the whole table anew per micro-batch, as version
-    ``batch_id``, made from the version before. For small tables that readers want to
-    open directly; ``changelog_writer`` suits large ones."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = (
-            spark.read.schema(schema).parquet(f"{path}/version={batch_id - 1}")
-            if batch_id > 0
-            else spark.createDataFrame([], schema)
-        )
-        table = upsert(state, batch.select(*schema.fieldNames()), keys)
-        table.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-
-    return write
-
-
 def jdbc_writer(
     url: str, table: str, properties: dict[str, str]
 ) -> Callable[[DataFrame, int], None]:
@@ -74,14 +58,63 @@ def table_from_topic(
     required = tuple(f.name for f in schema)
 
     def consume(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_records(batch, schema, required, key=key, upper=True)
-        # Running totals only grow, so the largest is the last.
-        write(latest(good, [key], "total_requests").select(*required), batch_id)
+        # Two outputs, one fetch.
+        batch = batch.persist()
+        good, bad = split_records(batch, schema, required, key=key, upper=True, keep=("offset",))
+        write(latest(good, [key], "offset").select(*required), batch_id)
         bad.write.mode("overwrite").parquet(f"{bad_path}/batch_id={batch_id}")
+        batch.unpersist()
 
     return consume
 
 
+def compact(spark: SparkSession, path: str, to: str, schema: T.StructType, keys: list[str]) -> None:
+    """The changelog's latest rows as a changelog of one batch in a new folder ``to``, which
+    later batches may be added to. Run it between two runs of the stream."""
+    changes = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
+    rows = spark.read.schema(changes).parquet(path)
+    last = rows.agg(F.max("batch_id")).first()[0]
+    read_changelog(spark, path, schema, keys).write.parquet(f"{to}/batch_id={last or 0}")
+
+
+def run_daily(
+    records: DataFrame, path: str, untimed: str, checkpoint: str, width: str = WINDOW, **trigger
+) -> StreamingQuery:
+    """Start a query that counts page hits per URL and window of log time, see
+    ``read_daily``. Records without a readable time go to the folder ``untimed``.
+
+    Each micro-batch adds what it has seen, under its own number. There is no state to
+    bound, so no watermark is needed and a late record is counted like any other."""
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        hits = daily_metrics(batch, width)
+        hits.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        without = batch.filter(event_time().isNull())
+        without.write.mode("overwrite").parquet(f"{untimed}/batch_id={batch_id}")
+        batch.unpersist()
+
+    return (
+        records.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def read_daily(spark: SparkSession, path: str, late: str = "1 day") -> DataFrame:
+    """All windows so far. ``final`` ones ended at least ``late`` before the latest hit; the
+    others are still open."""
+    seen = spark.read.parquet(path)
+    latest_hit = seen.agg(F.max("last_hit")).scalar()
+    totals = ("total_requests", "success_count", "error_count")
+    return (
+        seen.groupBy("window_start", "window_end", "url")
+        .agg(*(F.sum(c).alias(c) for c in totals))
+        .withColumn("final", F.col("window_end") <= latest_hit - F.expr(f"interval {late}"))
+    )
+
+
 def run_to_changelog(
     rows: DataFrame, path: str, checkpoint: str, mode: str = "update", **trigger
 ) -> StreamingQuery:
@@ -104,8 +137,3 @@ def run_to_table(rows: DataFrame, path: str, checkpoint: str, **trigger) -> Stre
         .trigger(**(trigger or {"availableNow": True}))
         .start(path)
     )
-
-
-def run_to_topic_folder(records: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Start an append query of ``key, value`` records into a folder topic."""
-    return run_to_table(records, path, checkpoint, **trigger)

@@ -7,10 +7,11 @@ import helpers
 import pytest
 from pyspark.sql import functions as F
 
-from hitledger.operators.ordered import last_before, running_count
-from hitledger.operators.overlap import stab
+from hitledger.operators.ordered import last_before, running_count, with_chunk
+from hitledger.operators.overlap import copied, stab
 from hitledger.operators.skew import attach, hot_keys
 from hitledger.plans import audit, changelog
+from hitledger.plans.oplog import touches, with_span
 from hitledger.sources.tables import route
 
 SPLIT = {
@@ -99,7 +100,7 @@ def test_read_locks_and_write_skew(spark):
 
 def test_routing_keeps_all_rows(spark):
     df = helpers.frame(spark, helpers.random_oplog(5))
-    assert helpers.result(route(df, 3).drop("value")) == helpers.result(df.drop("value"))
+    assert helpers.result(route(df).drop("value")) == helpers.result(df.drop("value"))
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -126,10 +127,14 @@ def test_stab_without_spans(spark):
     assert stab(points, spans, ["k"], "at", "low", "high").count() == 0
 
 
+@pytest.mark.parametrize("step", [1, 1_000_000, "gaps"])
 @pytest.mark.parametrize("chunk", [1, 3, 10, 1000])
-def test_running_values_across_chunks(spark, chunk):
+def test_running_values_across_chunks(spark, chunk, step):
     rng = random.Random(chunk)
-    rows = [(rng.choice("aaaab"), pos, rng.choice([None, None, "x", "y"])) for pos in range(-20, 80)]
+    places = range(-20, 80) if step == "gaps" else range(-20 * step, 80 * step, step)
+    if step == "gaps":
+        places = sorted({-(10**15), *places, *(10**12 + 3 * i for i in range(60)), 10**17})
+    rows = [(rng.choice("aaaab"), pos, rng.choice([None, None, "x", "y"])) for pos in places]
     df = spark.createDataFrame(rows, "k string, pos long, v string")
     has = F.col("v").isNotNull()
     out = running_count(last_before(df, ["k"], ["pos"], F.col("v"), "before", chunk), ["k"], "pos", has, "n", chunk)
@@ -148,7 +153,43 @@ def test_attach_splits_only_hot_keys(spark):
     df = spark.createDataFrame(rows, "k string, x long")
     stats = df.groupBy("k").agg(F.count("*").alias("n"), F.sum("x").alias("total"))
     assert [tuple(r) for r in hot_keys(stats, ["k"], "n", 10).collect()] == [("hot", 5)]
-    assert hot_keys(stats, ["k"], "n", 1, limit=4).count() == 4
+    assert hot_keys(stats, ["k"], "n", 1).count() == 21
     got = attach(df, stats, ["k"], "n", ["x"], hot_rows=10)
     want = df.join(stats, "k").select(got.columns)
     assert helpers.result(got) == helpers.result(want)
+
+
+@pytest.mark.parametrize("step", [1, 1_000_000])
+def test_one_key_with_all_rows_is_cut(spark, step):
+    df = spark.range(0, 20_000 * step, step).withColumnRenamed("id", "pos")
+    chunks = with_chunk(df, "pos", df, 100).groupBy("__chunk").count().agg(F.max("count"), F.count("*")).first()
+    assert chunks[0] <= 300 and chunks[1] >= 100
+
+
+def test_a_point_is_copied_for_the_widths_of_its_own_slot(spark):
+    points = spark.createDataFrame([("a", 5), ("b", 5), ("c", 5)], "k string, at long")
+    spans = spark.createDataFrame([("a", 4), ("b", 4), ("b", 8), ("b", 20)], "k string, __level int")
+    assert copied(points, spans, ["k"], "at").groupBy("k").count().orderBy("k").collect() == [("a", 1), ("b", 3)]
+
+
+def test_readers_of_one_key_form_no_pairs(spark):
+    rows = [r for i in range(60) for r in (*ops("read k", tx=f"t{i:02d}", start=i), *ops("read k", tx=f"t{i:02d}", start=100 + i))]
+    rows += [*ops("put other 1", tx="w", start=300)]
+    df = helpers.frame(spark, rows)
+    touched = with_span(touches(df), df)
+    pairs = audit._overlapping(touched, touched.filter("writes")).union(
+        audit._overlapping(touched.filter("writes"), touched.filter("not writes"))
+    )
+    assert pairs.count() == 0
+    waits = {r.blocked: (r.others, r.waits_for) for r in audit.lock_waits(df).collect()}
+    assert waits == {f"t{i:02d}": (i, f"t{i - 1:02d}") for i in range(1, 60)}
+
+
+@pytest.mark.parametrize("chunk", [8, 1000])
+def test_compact_conflicts_count_the_pairs(log, chunk):
+    rows, df = log
+    for compact, pairs in (("lock_waits", "lock_conflicts"), ("write_conflicts_by_tx", "write_conflicts")):
+        counts = {}
+        for node, key, _, later in getattr(helpers, pairs)(rows):
+            counts[node, key, later] = counts.get((node, key, later), 0) + 1
+        assert {r[:3]: r[3] for r in map(tuple, getattr(audit, compact)(df, 4, chunk).collect())} == counts

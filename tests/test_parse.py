@@ -84,7 +84,7 @@ def test_split_equals_the_pattern(spark, mode):
             place = names.index("status")
             fields[place] = number(fields[place])
             if mode != "loose":
-                fields[-1] = 0 if fields[-1] == "-" else number(fields[-1])
+                fields[-1] = 0 if fields[-1] == "-" else int(fields[-1])
             want[text] = fields
     plain = sum(bool(re.match(logline.PLAIN, text)) for text in want)
     assert plain > 20 and (mode == "strict" or len(want) - plain > 20)
@@ -172,3 +172,25 @@ def test_intermediate_lines(lines):
     assert sorted(r.url for r in good.collect()) == ["/A.HTM", "/a.html", "/x.htm"]
     assert sorted(r.value for r in bad.collect()) == ["", "a\tb", "a\tb\tc\td"]
     assert {r.status for r in good.collect()} == {"200", "404"}
+
+
+def test_large_sizes_and_statuses_as_written(lines):
+    df = lines('h - - [01/Aug/1995:00:00:01 -0400] "GET /a.html HTTP/1.0" 007 5000000000')
+    for mode in ("strict", "stream"):
+        (row,) = logline.parse(df, mode).collect()
+        assert (row.bytes, row.status, str(row.date)) == (5_000_000_000, 7, "1995-08-01")
+    loose = logline.parse(df, "loose")
+    assert logline.intermediate(loose).collect() == [("/a.html", "007", "01/Aug/1995")]
+    (row,) = logline.from_intermediate(logline.intermediate(loose)).collect()
+    assert (row.status, str(row.date)) == (7, "1995-08-01")
+
+
+def test_reports_from_every_parser(spark):
+    from hitledger.plans import traffic
+    from hitledger.registry.bindings import access_log
+
+    log = access_log(spark, "/root/testdata/sf0.001")
+    for mode in ("loose", "stream"):
+        hits = traffic.page_hits(log, mode)
+        assert traffic.url_report(hits).count() == 10
+        assert traffic.top_page_anomalies(hits, "inclusive").count() > 0

@@ -119,11 +119,10 @@ def test_top_in_group(spark):
     assert got == [("g", 1, "b"), ("g", 2, "c"), ("h", 1, "a")]
 
 
-def test_keep_keys_by_broadcast_or_shuffle(spark):
+def test_keep_keys(spark):
     df = spark.range(100).select(F.col("id").cast("string").alias("url"))
     keys = df.filter("url < '3'")
-    few, many = (counts.keep_keys(df, keys, k) for k in (5, counts.BROADCAST_KEYS + 1))
-    assert sorted(few.collect()) == sorted(many.collect()) == sorted(keys.collect())
+    assert sorted(counts.keep_keys(df, keys).collect()) == sorted(keys.collect())
 
 
 def test_metrics_and_dashboard(lines):

@@ -40,32 +40,43 @@ def test_running_metrics_equal_batch(spark, folder, tmp_path):
     assert rows(sinks.read_changelog(spark, path, SCHEMA, ["url"])) == want
 
 
-def test_whole_table_versions(spark, folder, tmp_path):
-    path = str(tmp_path / "table")
-    (
-        pipeline.running_metrics(stream(spark, folder))
-        .writeStream.outputMode("update")
-        .foreachBatch(sinks.upsert_writer(path, SCHEMA, ["url"]))
-        .option("checkpointLocation", str(tmp_path / "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    assert rows(spark.read.parquet(f"{path}/version=2")) == rows(traffic.metrics(access_log(spark, SF)))
-
-
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     batch = spark.createDataFrame([("/a", 2, 1, 1, 50.0)], SCHEMA)
     later = spark.createDataFrame([("/a", 4, 3, 1, 75.0), ("/b", 1, 1, 0, 100.0)], SCHEMA)
-    for writer, read in (
-        (sinks.changelog_writer(str(tmp_path / "c")), lambda: sinks.read_changelog(spark, str(tmp_path / "c"), SCHEMA, ["url"])),
-        (sinks.upsert_writer(str(tmp_path / "u"), SCHEMA, ["url"]), lambda: spark.read.parquet(str(tmp_path / "u" / "version=1"))),
-    ):
-        writer(batch, 0)
-        writer(later, 1)
-        once = rows(read())
-        writer(later, 1)
-        assert rows(read()) == once == rows(later)
+    path = str(tmp_path / "c")
+    writer = sinks.changelog_writer(path)
+    writer(batch, 0)
+    writer(later, 1)
+    once = rows(sinks.read_changelog(spark, path, SCHEMA, ["url"]))
+    writer(later, 1)
+    assert rows(sinks.read_changelog(spark, path, SCHEMA, ["url"])) == once == rows(later)
+    sinks.compact(spark, path, str(tmp_path / "d"), SCHEMA, ["url"])
+    assert rows(sinks.read_changelog(spark, str(tmp_path / "d"), SCHEMA, ["url"])) == once
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 2
+
+
+def test_all_windows_with_files_in_wrong_order(spark, tmp_path):
+    """The latest day comes first, the earliest last, one line has no time."""
+    from pyspark.sql.functions import lit
+
+    log = access_log(spark, SF).select("value")
+    days = [f"{d:02d}/Jan/2024" for d in (20, 3, 1)]
+    lines = [log.filter(log.value.contains(f"[{day}")) for day in days]
+    untimed = lines[0].limit(1).select(lit('h - - [no time -0400] "GET /p1.html HTTP/1.0" 200 1').alias("value"))
+    folder = str(tmp_path / "lines")
+    for part in (*lines, untimed):
+        part.coalesce(1).write.mode("append").text(folder)
+    out = str(tmp_path)
+    for _ in range(2):  # started again, it changes nothing
+        sinks.run_daily(stream(spark, folder), f"{out}/w", f"{out}/u", f"{out}/c").awaitTermination()
+    assert spark.read.parquet(f"{out}/w").select("batch_id").distinct().count() >= 3
+    got = sinks.read_daily(spark, f"{out}/w")
+    want = pipeline.daily_metrics(pipeline.log_records(lines[0].union(lines[1]).union(lines[2])))
+    columns = ["window_start", "url", "total_requests", "success_count", "error_count"]
+    assert rows(got.select(columns)) == rows(want.select(columns))
+    final = {r.window_start.day: r.final for r in got.collect()}
+    assert final[1] and final[3] and not final[20]
+    assert spark.read.parquet(f"{out}/u").count() == 1
 
 
 def test_page_stream_is_stateless(spark, folder, tmp_path):
@@ -94,10 +105,12 @@ def test_daily_windows(spark, folder, tmp_path):
 
 
 def test_topic_to_table(spark, tmp_path):
-    """Two rounds on the topic: later totals win, bad records are kept raw."""
+    """Two rounds on the topic: the later record wins, were it the smaller one; bad records
+    are kept raw."""
     path, out = str(tmp_path / "topic"), str(tmp_path / "table")
     first = spark.createDataFrame([("/a", 2, 1, 1, 50.0), ("/b", 1, 1, 0, 100.0)], SCHEMA)
-    second = spark.createDataFrame([("/a", 4, 3, 1, 75.0)], SCHEMA)
+    second = spark.createDataFrame([("/a", 1, 1, 0, 100.0)], SCHEMA)
+    again = spark.createDataFrame([("/b", 9, 9, 0, 100.0)], SCHEMA)
     junk = spark.createDataFrame([(b"/a", b"junk")], "key binary, value binary")
 
     def run():
@@ -115,10 +128,11 @@ def test_topic_to_table(spark, tmp_path):
     topic.write_folder(junk, path)
     run()
     assert rows(sinks.read_changelog(spark, f"{out}/changes", SCHEMA, ["url"])) == rows(first)
-    topic.write_folder(record.to_records(second, "url", upper=True), path)
+    for later in (again, second, first.filter("url = '/b'")):
+        topic.write_folder(record.to_records(later, "url", upper=True), path)
     run()
     table = sinks.read_changelog(spark, f"{out}/changes", SCHEMA, ["url"])
-    assert rows(table) == [("/a", 4, 3, 1, 75.0), ("/b", 1, 1, 0, 100.0)]
+    assert rows(table) == [("/a", 1, 1, 0, 100.0), ("/b", 1, 1, 0, 100.0)]
     bad = [(bytes(r.key), bytes(r.value)) for r in spark.read.parquet(f"{out}/bad").collect()]
     assert bad == [(b"/a", b"junk")]
 
