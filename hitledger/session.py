@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -32,15 +35,23 @@ def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) ->
     return builder.getOrCreate()
 
 
+@lru_cache
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="hitledger-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder below the one all executors share.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session, whose
-    executors are this machine, may do without.
+    executors are this machine, may do without: it gets a folder that goes when the process
+    ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
+        root = _local_root()
     return f"{root.rstrip('/')}/hitledger-{uuid.uuid4().hex}/{label}"
