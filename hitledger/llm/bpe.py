@@ -39,13 +39,17 @@ from hitledger.llm.frames import without
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 # Bounds on what a worker keeps; beyond them it starts anew.
-MAX_STATES = 250_000
-MAX_PIECES = 300_000
+MAX_STATES = 150_000
+MAX_UNKEPT = 20 * MAX_STATES
+MAX_PIECES = 250_000
 # Longer pieces are not kept, longer texts not cut into a list of pieces.
 LONG_PIECE = 64
 AT_ONCE = 1 << 20
 
-ADDED = ("ids", "n_tokens")
+ADDED = ("ids", "n_tokens", "decoded")
+
+# Before a piece's first byte: at the trie's root, after no token, nothing to write.
+START = ((0, -1, ()),)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -71,10 +75,6 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
-def _packed(tokens: Iterable[int]) -> bytes:
-    return b"".join(t.to_bytes(4, "little") for t in tokens)
-
-
 class Pieces(dict):
     """Ids of the pieces met so far."""
 
@@ -105,26 +105,25 @@ class Transducer:
             for byte in token:
                 node = self.trie.setdefault(node << 8 | byte, len(self.trie) + 1)
             self.token_at[node] = rank
+        self.packed = {rank: rank.to_bytes(4, "little") for rank in ranks.values()}
         self.pieces = Pieces(self)
         self.reset()
 
     def reset(self) -> None:
-        """Forget all states. A state is a number: of its guesses, of what is left to write
-        if a piece ends there, and with a byte of the move it makes."""
+        """Forget all states. A state is a number: of its guesses and, with a byte, of the
+        move it makes."""
         self.stable: dict[tuple[int, int], bool] = {}
         self.numbers: dict[tuple, int] = {}
         self.guesses: list[tuple] = []
-        self.rest: list[bytes] = []
         self.moves: dict[int, tuple[int, bytes]] = {}
-        self._state(((0, -1, ()),))
+        self.unkept = 0
+        self._number(START)
 
-    def _state(self, guesses: tuple) -> int:
+    def _number(self, guesses: tuple) -> int:
         state = self.numbers.get(guesses)
         if state is None:
             state = self.numbers[guesses] = len(self.guesses)
             self.guesses.append(guesses)
-            # The guess that is cut at this place is at node 0.
-            self.rest.append(next((_packed(written) for node, _, written in guesses if node == 0), b""))
         return state
 
     def _stable(self, before: int, token: int) -> bool:
@@ -132,41 +131,72 @@ class Transducer:
         known = self.stable.get((before, token))
         if known is None:
             parts = [self.bytes[t] for t in (before, token) if t >= 0]
-            known = self.stable[before, token] = merge(b"".join(parts), self.ranks) == parts
+            known = merge(b"".join(parts), self.ranks) == parts
+            if len(self.stable) < MAX_STATES:
+                self.stable[before, token] = known
         return known
 
-    def _move(self, state: int, byte: int) -> tuple[int, bytes]:
-        guesses, cut = [], None
-        for node, before, written in self.guesses[state]:
-            node = self.trie.get(node << 8 | byte)
+    def step(self, guesses: tuple, byte: int) -> tuple[tuple, bytes]:
+        """The guesses after one more byte, and what they agree on."""
+        after, cut, pending = [], None, True
+        trie, token_at = self.trie, self.token_at
+        for node, before, written in guesses:
+            node = trie.get(node << 8 | byte)
             if node is None:
                 continue
-            guesses.append((node, before, written))
-            token = self.token_at.get(node)
-            if cut is None and token is not None and self._stable(-1, token) and self._stable(before, token):
-                cut = (0, token, (*written, token))
-        guesses.append(cut)
+            after.append((node, before, written))
+            pending = pending and bool(written)
+            if cut is None:
+                token = token_at.get(node)
+                if token is not None and self._stable(-1, token) and self._stable(before, token):
+                    cut = (0, token, (*written, token))
+        after.append(cut)
+        if not pending:
+            # One of them has not written anything that is not out yet.
+            return tuple(after), b""
         agreed = 0
-        shortest = min(len(written) for _, _, written in guesses)
-        while agreed < shortest and len({written[agreed] for _, _, written in guesses}) == 1:
+        tokens = cut[2]
+        shortest = min(len(written) for _, _, written in after)
+        while agreed < shortest and all(written[agreed] == tokens[agreed] for _, _, written in after):
             agreed += 1
-        out = _packed(guesses[0][2][:agreed])
-        after = self._state(tuple((node, before, written[agreed:]) for node, before, written in guesses))
-        self.moves[state << 8 | byte] = move = after, out
-        return move
+        if not agreed:
+            return tuple(after), b""
+        out = b"".join(map(self.packed.__getitem__, tokens[:agreed]))
+        return tuple((node, before, written[agreed:]) for node, before, written in after), out
+
+    def rest(self, guesses: tuple) -> bytes:
+        """What is left to write where a piece ends: the last guess is cut there."""
+        return b"".join(map(self.packed.__getitem__, guesses[-1][2]))
 
     def encode_piece(self, piece: bytes) -> bytes:
         whole = self.ranks.get(piece)
         if whole is not None:
-            return whole.to_bytes(4, "little")
-        if len(self.guesses) > MAX_STATES:
-            self.reset()
+            return self.packed[whole]
         state, out, moves = 0, [], self.moves
-        for byte in piece:
-            state, written = moves.get(state << 8 | byte) or self._move(state, byte)
+        for place, byte in enumerate(piece):
+            move = moves.get(state << 8 | byte)
+            if move is None:
+                if len(self.guesses) >= MAX_STATES:
+                    return b"".join(out) + self._encode_unkept(state, piece[place:])
+                guesses, written = self.step(self.guesses[state], byte)
+                move = moves[state << 8 | byte] = self._number(guesses), written
+            state, written = move
             if written:
                 out.append(written)
-        out.append(self.rest[state])
+        out.append(self.rest(self.guesses[state]))
+        return b"".join(out)
+
+    def _encode_unkept(self, state: int, piece: bytes) -> bytes:
+        """The rest of a piece when there is no room for its states: they are made and let
+        go. If that happens too often, the texts have changed and all states are."""
+        guesses, out = self.guesses[state], []
+        for byte in piece:
+            guesses, written = self.step(guesses, byte)
+            out.append(written)
+        out.append(self.rest(guesses))
+        self.unkept += len(piece)
+        if self.unkept > MAX_UNKEPT:
+            self.reset()
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:
@@ -200,8 +230,9 @@ def _shared(frame: DataFrame, path: str):
     return frame.sparkSession.sparkContext.broadcast(tuple(read_ranks(path).items()))
 
 
-def encode(documents: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, text: str = "text") -> DataFrame:
-    """Adds ``ids`` (little-endian 32-bit numbers, in one binary) and ``n_tokens``.
+def transcode(documents: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, text: str = "text") -> DataFrame:
+    """Adds ``ids`` (little-endian 32-bit numbers, in one binary), ``n_tokens``, and
+    ``decoded``, the bytes that the ids stand for.
 
     Each match of the pattern is encoded by itself, without special tokens. A null text has
     no tokens, as an empty one. Repeated rows get the same ids; an empty table stays empty.
@@ -209,15 +240,19 @@ def encode(documents: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN,
     """
     entries = _shared(documents, path)
 
-    @F.arrow_udf("binary")
-    def ids_of(column: pa.Array) -> pa.Array:
+    @F.arrow_udf("struct<ids: binary, decoded: binary>")
+    def both(column: pa.Array) -> pa.Array:
         machine = _transducer(entries.value, pattern)
-        return pa.array([machine.encode(text.as_py() or "") for text in column], pa.binary())
-
-    # Marked so, it is run once per row, even where decoding and counting both use the ids.
-    once = ids_of.asNondeterministic()
-    rows = documents.select(*without(documents, ADDED), once(documents[text]).alias("ids"))
-    return rows.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
+        ids = [machine.encode(text.as_py() or "") for text in column]
+        return pa.StructArray.from_arrays(
+            [pa.array(ids, pa.binary()), pa.array(map(machine.decode, ids), pa.binary())], ["ids", "decoded"]
+        )
+
+    # Marked so, it is run once per row, not once for each use of its results.
+    once = both.asNondeterministic()
+    rows = documents.select(*without(documents, ADDED), once(documents[text]).alias("__both"))
+    rows = rows.select("*", "__both.ids", "__both.decoded").drop("__both")
+    return rows.withColumn("n_tokens", F.expr("octet_length(ids) div 4"))
 
 
 def decode(encoded: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, ids: str = "ids") -> DataFrame:

@@ -59,7 +59,7 @@ def op7_url_filters(spark, sf_dir):
 
 
 def op8_byte_bpe(spark, sf_dir):
-    encoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    encoded = bpe.transcode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return encoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
