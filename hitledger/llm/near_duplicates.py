@@ -8,11 +8,11 @@ again and again until it hits one (optimal densification: each borrower chooses
 equal sets still agree and others stay independent). Bands of ``ROWS`` values are buckets.
 
 In a bucket, candidate edges form a star: its centre is compared with all other members,
-never all members with each other. Comparison is exact, on the full sets. Where everybody
-is linked, directly or through other buckets, one star settles a bucket. Otherwise members
-that are not yet connected may still be similar to each other, so unsettled buckets get
-further centres (2, 4, 8, ... of them) until every
-member is connected with, or has been compared with, every other. So no link between
+never all members with each other. The centre is the member that meets the most others over
+all bands. Comparison is exact, on the full sets. Where everybody is linked, directly or
+through other buckets, the star settles a bucket. Members of the other buckets may still be
+similar to each other; between those that are not yet connected, candidates are found
+exactly, by a join on their rarest shingles (see ``rare_pairs``). So no link between
 members of a bucket is lost, and the number of pairs stays near that of the links.
 
 Two sets of similarity 0.75 miss each other in all bands with probability
@@ -173,6 +173,48 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(renamed, "labels")
 
 
+def needed(n_a, n_b):
+    """The least number of common shingles with which sets of these sizes are similar."""
+    return F.ceil(F.lit(PERCENT) * (n_a + n_b) / F.lit(100 + PERCENT))
+
+
+def rare_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of ``nodes`` (node, n, label) with different labels, among them all
+    that are similar.
+
+    A set's shingles are ordered by how many of the nodes have them, the rarest first. Two
+    similar sets share one among the first few of both, their prefixes. If that is the
+    first they share, no more can be common than come after it; so the places of the shared
+    shingle must leave enough. Shingles that all have one label are out before the join, and
+    so are places from which no partner is in reach: what thousands of connected copies
+    share pairs nobody.
+    """
+    rows = sets.join(nodes, "node").select("node", "n", "label", F.explode("shingles").alias("shingle"))
+    rows = stored(rows, "shingles")
+    times = rows.groupBy("shingle").agg(F.count("*").alias("times"))
+    order = Window.partitionBy("node").orderBy("times", "shingle")
+    n = F.col("n")
+    ranked = rows.join(times, "shingle").withColumn("after", n - F.row_number().over(order) + 1)
+    # ``after`` counts the shingles from this one on.
+    prefix = stored(ranked.filter((F.col("times") > 1) & (F.col("after") >= needed(n, F.ceil(n * PERCENT / 100)))), "prefix")
+    mixed = (
+        prefix.groupBy("shingle")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("n").alias("least"))
+        .filter(F.col("low") != F.col("high"))
+        .select("shingle", "least")
+    )
+    near = prefix.join(mixed, "shingle").filter(F.col("after") >= needed(n, F.col("least")))
+    near = stored(near.select("shingle", "node", "n", "label", "after"), "near")
+    other = near.select("shingle", *(F.col(c).alias(f"o_{c}") for c in ("node", "n", "label", "after")))
+    enough = needed(n, F.col("o_n"))
+    return _distinct(
+        near.join(other, "shingle")
+        .filter((F.col("node") < F.col("o_node")) & (F.col("label") != F.col("o_label")))
+        .filter((F.col("after") >= enough) & (F.col("o_after") >= enough))
+        .select(F.col("node").alias("a"), F.col("o_node").alias("b"))
+    )
+
+
 def links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """``node`` and ``label``, the smallest node it is connected with, of all members.
 
@@ -184,36 +226,17 @@ def links(members: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = _distinct(star.select(F.col("c_node").alias("a"), F.col("node").alias("b")))
     labels = members.select("node").distinct().select("node", F.col("node").alias("label"))
     labels = joined(stored(labels, "labels"), confirmed(pairs, sets))
-    members = members.select(*bucket, "node", "n")
-    first, after = 1, 3
-    while True:
-        # Buckets whose members are not all in one component, with a centre left to try.
-        labelled = members.join(labels, "node")
-        unsettled = (
-            labelled.groupBy(*bucket)
-            .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-            .filter((F.col("low") != F.col("high")) & (F.col("size") > first + 1))
-        )
-        open_ = stored(labelled.join(unsettled.select(*bucket), bucket), "open")
-        if open_.isEmpty():
-            return labels
-        place = F.row_number().over(Window.partitionBy(*bucket).orderBy("node")) - 1
-        ranked = open_.withColumn("rank", place)
-        centre = ranked.filter((F.col("rank") >= first) & (F.col("rank") < after)).select(
-            *bucket, *(F.col(c).alias(f"c_{c}") for c in ("node", "n", "label"))
-        )
-        pairs = _distinct(
-            open_.join(centre, bucket)
-            .filter((F.col("node") > F.col("c_node")) & (F.col("label") != F.col("c_label")))
-            .filter(could_be(F.col("n"), F.col("c_n")))
-            .select(F.col("c_node").alias("a"), F.col("node").alias("b"))
-        )
-        if not pairs.isEmpty():
-            found = stored(confirmed(pairs, sets), "found")
-            if not found.isEmpty():
-                labels = joined(labels, found)
-        members = open_.select(*bucket, "node", "n")
-        first, after = after, 2 * after + 1
+
+    # Members of buckets that are not all in one component may be similar to each other.
+    labelled = members.select(*bucket, "node", "n").join(labels, "node")
+    several = (
+        labelled.groupBy(*bucket)
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .filter(F.col("low") != F.col("high"))
+    )
+    open_ = labelled.join(several.select(*bucket), bucket).select("node", "n", "label").distinct()
+    found = stored(confirmed(rare_pairs(stored(open_, "open"), sets), sets), "found")
+    return joined(labels, found)
 
 
 def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -245,10 +268,17 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
     )
     nodes = stored(nodes, "nodes")
     buckets = nodes.select("node", "n", F.posexplode("bands").alias("band", "value"))
-    # The smallest node is the centre, so that a group has the same centre in all bands.
-    stars = buckets.groupBy("band", "value").agg(F.min(F.struct("node", "n")).alias("centre"), F.count("*").alias("size"))
-    stars = stars.filter("size > 1").select("band", "value", F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n"))
-    members = stored(buckets.join(stars, ["band", "value"]), "members")
+    bucket = ["band", "value"]
+    sizes = buckets.groupBy(*bucket).agg(F.count("*").alias("size")).filter("size > 1")
+    crowded = stored(buckets.join(sizes, bucket), "crowded")
+    # The centre is the member that meets the most others over all bands: of copies that were
+    # changed in different places, the one in the middle, which most are similar to. It is
+    # the same in all bands.
+    turns = crowded.groupBy("node").agg((-F.sum("size")).alias("turn"))
+    crowded = stored(crowded.drop("size").join(turns, "node"), "turns")
+    centres = crowded.groupBy(*bucket).agg(F.min(F.struct("turn", "node", "n")).alias("centre"))
+    centres = centres.select(*bucket, F.col("centre.node").alias("c_node"), F.col("centre.n").alias("c_n"))
+    members = stored(crowded.join(centres, bucket), "members")
 
     # The full sets of the nodes that share a bucket, from the text of one document each.
     wanted = nodes.select("node", F.col("doc.key").alias("key")).join(members.select("node").distinct(), "node")
@@ -263,14 +293,15 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
     least = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
     found = labelled.join(least, "label").select("node", "component_id")
     result = signed.select("doc.key.a", "doc.key.b", "n_shingles", "node").distinct()
+    # Names of its own for what is joined to columns of the input.
     result = result.join(found, "node", "left").select(
-        F.col("a").alias("key_a"), F.col("b").alias("key_b"), "n_shingles", "component_id", (F.col("n_shingles") == 0).alias("alone")
+        F.col("a").alias("__a"), F.col("b").alias("__b"), "n_shingles", F.col("component_id").alias("__least")
     )
-    keyed = documents.select(*without(documents, ADDED), key.alias("key_a"), other.alias("key_b"))
-    component = F.when(F.col("alone"), F.col(doc_id)).otherwise(F.col("component_id"))
+    keyed = documents.select(*without(documents, ADDED), key.alias("__a"), other.alias("__b"))
+    component = F.when(F.col("n_shingles") == 0, F.col(doc_id)).otherwise(F.col("__least"))
     return (
-        keyed.join(result, ["key_a", "key_b"], "left")
+        keyed.join(result, ["__a", "__b"], "left")
         .withColumn("component_id", component)
         .withColumn("kept", F.col("component_id").eqNullSafe(F.col(doc_id)))
-        .drop("key_a", "key_b", "alone")
+        .drop("__a", "__b", "__least")
     )
