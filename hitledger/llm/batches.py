@@ -33,12 +33,30 @@ def importable(frame: DataFrame) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
+_held: list = [None, None]
+
+
+def held(key, make: Callable[[], object]):
+    """What a worker keeps from task to task: the tables of one operator at a time."""
+    if _held[0] != key:
+        let_go()
+        _held[:] = key, make()
+    return _held[1]
+
+
+def let_go() -> None:
+    """Called by operators that keep nothing, so that another one's tables don't stay in a
+    worker while they run."""
+    _held[:] = None, None
+
+
 def map_batches(
     frame: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     importable(frame)
 
     def every(batches):
+        let_go()
         for batch in batches:
             yield from function(batch)
 

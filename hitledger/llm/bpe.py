@@ -24,7 +24,6 @@ from __future__ import annotations
 import base64
 import codecs
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -33,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.batches import importable
+from hitledger.llm.batches import held, importable
 from hitledger.llm.frames import without
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -218,10 +217,9 @@ class Transducer:
         yield decoder.decode(b"", final=True)
 
 
-@lru_cache(maxsize=1)
 def _transducer(entries: tuple[tuple[bytes, int], ...], pattern: str) -> Transducer:
     """One machine per worker, which tasks share."""
-    return Transducer(dict(entries), pattern)
+    return held((pattern, entries), lambda: Transducer(dict(entries), pattern))
 
 
 def _shared(frame: DataFrame, path: str):

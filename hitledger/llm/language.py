@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitledger.llm.batches import importable, slices
+from hitledger.llm.batches import importable, let_go, slices
 from hitledger.llm.frames import without
 
 # Bound on the texts the machines are fitted on, over all languages, and on those of one.
@@ -219,6 +219,7 @@ def predictor(spark, model: Model):
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def predict(column: pa.Array) -> pa.Array:
+        let_go()
         languages, scores = [], []
         model = shared.value
         for first, last, data, offsets in slices(column, ROWS):

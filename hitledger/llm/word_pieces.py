@@ -11,14 +11,13 @@ these numbers along its way; the pieces themselves are never built.
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.batches import importable
+from hitledger.llm.batches import held, importable
 from hitledger.llm.frames import without
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -120,9 +119,8 @@ class Lengths(dict):
         return n
 
 
-@lru_cache(maxsize=1)
 def _lengths(entries: tuple[bytes, ...]) -> Lengths:
-    return Lengths(Automaton(entries))
+    return held(entries, lambda: Lengths(Automaton(entries)))
 
 
 def count_tokens(documents: DataFrame, path: str = VOCABULARY, text: str = "text") -> DataFrame:
