@@ -1,18 +1,18 @@
 """Quality rules: plain counts, and the perplexity of an n-gram model within bands.
 
-The model is a modified Kneser-Ney model of order four over the bytes of all texts, folded
-to 64 symbols. Spark counts the n-grams of all documents: a task reduces its texts to one
-row per n-gram, the exchange adds these up, and the lower orders (in how many contexts an
-n-gram occurs) and the counts of counts come from further aggregates. As there are 64
-symbols, there are 64^4 entries at most, however large the corpus is; that bound is what
-makes it possible to finish the model in one place and to broadcast it. It is stored as one
-array of sorted hashes per order with logarithms beside it and searched by bisection.
-
-The logarithm of a text's perplexity is compared with its language's band. The middle of the
-band is the mean over all texts of the language, weighted by length. A short text strays
-further from the mean than a long one, so the width, in standard deviations s of the
-language, depends on how its length n compares with the mean length N: a lower and an upper
-factor times s * sqrt(1 + 4 N / n). Above the band is noise, below it endless repetition.
+The model is a modified Kneser-Ney model of word trigrams over all texts, see
+``word_model``; case and punctuation count. It lives in tables that grow with the corpus,
+and each text's trigrams are joined to it.
+
+The logarithm of a text's perplexity is compared with the band of its language and length
+(texts whose numbers of words have the same power of two below them). The middle of a band is
+the median, and the width to either side follows from the quartiles, so junk neither moves
+nor widens the band much. A class of few texts has its language's band. Marks between words
+are easy to foresee, so a second band is for words of letters and digits alone. Above a band
+is noise, below it endless repetition.
+
+Besides, there is a model of order four over bytes folded to 64 symbols (``count_grams``,
+``build``, ``score``), of 64^4 entries at most. ``judge`` does not use it.
 """
 
 from __future__ import annotations
@@ -24,13 +24,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm import batches
+from hitledger.llm import batches, word_model
 from hitledger.llm.frames import stored, without
 
 ORDER = 4
 SYMBOL_BITS = 6
-# Factors of the band's width, below and above the mean.
+# Factors of the band's width, below and above the middle.
 LOWER, UPPER = 1.0, 1.0
+# Width of a band in robust deviations, and fewest texts for a band of a length class.
+WIDTH = 4.0
+CLASS_TEXTS = 40
+# What has to lie within bands: the logarithm of the perplexity over all words, and over
+# those of letters and digits.
+BANDS = ("__all", "__letters")
 # Rules of the base: fewest words, and most words in repeated windows, in percent.
 MIN_WORDS = 20
 MAX_REPEATED = 30
@@ -253,54 +259,64 @@ def judge(
     ``n_words``, ``word_chars`` (code points in words), ``n_symbols``, ``n_dup_lines`` (lines
     with a word that equal an earlier one), ``n_repeat_words`` (words inside windows of eight
     that occur twice or more). The base fails texts of fewer than 20 words or with over 30 %
-    repeated ones. ``kept`` is false where the base failed or the perplexity is outside the
-    language's band. A null language is one of its own. A null or empty text has no words,
-    so it fails; its perplexity is null, as is that of a text of fewer than four bytes.
+    repeated ones. ``kept`` is false where the base failed or a perplexity is outside its
+    band. A null language is one of its own. A null or empty text has no words,
+    so it fails; its perplexity is null, as is that of a blank text.
     Repeated rows get the same verdict. An empty table gives an empty result. Columns of the
     input named like an added one are replaced.
     """
-    spark = documents.sparkSession
-    texts = documents.select(documents[text].alias("text"))
-    model = build(stored(count_grams(texts), "grams"))
-    # 64^4 entries at most, see above.
-    shared = spark.sparkContext.broadcast(model)
+    key = F.xxhash64(documents[text])
+    texts = documents.select(key.alias("key"), documents[text].alias("text"))
+    scored = stored(word_model.scores(texts, discounts), "scores").withColumnRenamed("key", "__key")
     counted = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    numbers = (*counted, "__grams")
-    kind = pa.struct([*((name, pa.int64()) for name in numbers), ("log_perplexity", pa.float64())])
+    kind = pa.struct([(name, pa.int64()) for name in counted])
+    batches.importable(documents)
 
-    @F.arrow_udf("struct<" + ", ".join(f"{c}: bigint" for c in numbers) + ", log_perplexity: double>")
+    @F.arrow_udf("struct<" + ", ".join(f"{c}: bigint" for c in counted) + ">")
     def measure(column: pa.Array) -> pa.Array:
         parts = []
         for _, _, data, offsets in batches.slices(column):
             counts = base_counts(data, offsets)
-            codes, bounds = grams(data, offsets)
-            sums = np.concatenate([[0.0], np.cumsum(score(shared.value, codes, ORDER))])
-            n = np.diff(bounds)
-            mean = (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(n, 1)
             fields = [pa.array(counts[name].astype(np.int64)) for name in counted]
-            fields.append(pa.array(n.astype(np.int64)))
-            fields.append(pa.array(-mean, pa.float64(), mask=n == 0))
             parts.append(pa.StructArray.from_arrays(fields, fields=list(kind)))
         return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     once = measure.asNondeterministic()
     language = F.coalesce(documents[lang], F.lit("")).alias("__lang")
-    rows = documents.select(*without(documents, ADDED), language, once(documents[text]).alias("__m"))
+    length = F.floor(F.log2(F.col("words"))).cast("int").alias("__class")
+    scored = scored.select("__key", length, F.col("log_perplexity").alias("__all"), F.col("letters").alias("__letters"))
+    bands = _bands(documents.select(key.alias("__key"), language).join(scored, "__key"))
+    rows = documents.select(*without(documents, ADDED), key.alias("__key"), language, once(documents[text]).alias("__m"))
     rows = rows.select(*(c for c in rows.columns if c != "__m"), "__m.*")
-    rows = stored(rows, "measured")
-    n, value = F.col("__grams"), F.col("log_perplexity")
-    sums = rows.groupBy("__lang").agg(
-        F.avg(n).alias("__length"),
-        F.try_divide(F.sum(n * value), F.sum(n)).alias("__mean"),
-        F.try_divide(F.sum(n * value * value), F.sum(n)).alias("__square"),
-    )
-    spread = F.sqrt(F.greatest(F.col("__square") - F.col("__mean") * F.col("__mean"), F.lit(0.0)))
-    bands = sums.select("__lang", "__length", "__mean", spread.alias("__spread"))
+    rows = rows.join(scored, "__key", "left").join(bands, ["__lang", "__class"], "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    width = F.col("__spread") * F.sqrt(1 + 4 * F.col("__length") / F.greatest(n, F.lit(1)))
     # A hair's breadth, for languages whose texts are all alike.
-    off, hair = value - F.col("__mean"), 1e-6
-    fits = (off >= -lower * width - hair) & (off <= upper * width + hair)
-    judged = rows.join(bands, "__lang").withColumn("base_failed", failed)
-    judged = judged.withColumn("kept", ~failed & F.coalesce(fits, F.lit(True)))
-    return judged.drop("__lang", "__length", "__mean", "__spread", "__grams")
+    fits = F.lit(True)
+    for name in BANDS:
+        off = F.col(name) - F.col(f"{name}_middle")
+        inside = (off >= -lower * WIDTH * F.col(f"{name}_down") - 1e-6) & (off <= upper * WIDTH * F.col(f"{name}_up") + 1e-6)
+        fits = fits & F.coalesce(inside, F.lit(True))
+    judged = rows.withColumn("base_failed", failed).withColumn("log_perplexity", F.col("__all"))
+    judged = judged.withColumn("kept", ~failed & fits)
+    return judged.select(*(c for c in judged.columns if not c.startswith("__")))
+
+
+def _bands(values: DataFrame) -> DataFrame:
+    """The middle and the spread to either side, per language and length class."""
+
+    def quartiles(*keys):
+        found = (F.percentile_approx(name, [0.25, 0.5, 0.75], 10000).alias(name) for name in BANDS)
+        return values.groupBy(*keys).agg(*found, F.count("*").alias("n"))
+
+    whole = quartiles("__lang").select("__lang", *(F.col(name).alias(f"{name}_lang") for name in BANDS))
+    parts = quartiles("__lang", "__class").join(whole, "__lang")
+    out = []
+    for name in BANDS:
+        q = F.when(F.col("n") >= CLASS_TEXTS, F.col(name)).otherwise(F.col(f"{name}_lang"))
+        # A quarter of a normal distribution lies 0.6745 deviations from the middle, or further.
+        out += [
+            q[1].alias(f"{name}_middle"),
+            ((q[1] - q[0]) / 0.6745).alias(f"{name}_down"),
+            ((q[2] - q[1]) / 0.6745).alias(f"{name}_up"),
+        ]
+    return parts.select("__lang", "__class", *out)
