@@ -11,6 +11,7 @@ prediction is one matrix product per slice of texts.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +36,8 @@ PENALTY = 1e-3
 STEPS = 150
 # Margin to confidence: the slope of the logistic function.
 SLOPE = 4.0
+# A text must be so much of what a tenth of the labelled texts are below in likeness.
+FLOOR = 0.45
 UNKNOWN = "und"
 
 # Languages by family. A language not listed is a family of its own.
@@ -97,6 +100,15 @@ class Model:
     languages: dict[str, list[str]] = field(default_factory=dict)
     pairs: dict[tuple[str, str], int] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: np.zeros((0, BUCKETS + 1), np.float32))
+    # Each language's mean vector, of two thirds of its texts, and the least likeness to it
+    # that texts of a size have (none before ``calibrate``).
+    centres: dict[str, np.ndarray] = field(default_factory=dict)
+    floors: dict[str, np.ndarray] = field(default_factory=dict)
+
+    def strange(self, x: np.ndarray, sizes: np.ndarray, names: list[str]) -> np.ndarray:
+        """Whether a text is less like its language than any clean text of its size."""
+        likeness = np.array([v @ self.centres[name] for v, name in zip(x, names, strict=True)])
+        return likeness < [self.floors[name][c] for name, c in zip(names, size_class(sizes), strict=True)]
 
     def margins(self, x: np.ndarray) -> np.ndarray:
         return x @ self.weights[:, :-1].T + self.weights[:, -1]
@@ -129,6 +141,49 @@ class Model:
         return list(named), score
 
 
+def size_class(sizes: np.ndarray) -> np.ndarray:
+    """0 for under 32 bytes, then one more for each doubling, up to 7."""
+    return np.clip(np.log2(np.maximum(sizes, 1) / 16).astype(int), 0, 7)
+
+
+def _calibrates(vector: np.ndarray) -> bool:
+    """A third of the texts, those that the centres are not made of."""
+    return zlib.crc32(vector.tobytes()) % 3 == 1
+
+
+def calibrate(documents: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> Model:
+    """Sets the floors of a model trained on the same documents: of the likeness that the
+    calibration third, cut to each size, has to its language, a part of the lower decile.
+    Texts of under 32 bytes are too short to be judged."""
+    chosen = sample(documents, text, lang)
+    centres = model.centres
+
+    def likeness(found):
+        for batch in found:
+            names = batch.column("lang").to_pylist()
+            for first, last, data, offsets in slices(batch.column("text"), ROWS):
+                for r, v in enumerate(vectors(data, offsets)):
+                    if not _calibrates(v):
+                        continue
+                    own = data[offsets[r] : offsets[r + 1]]
+                    for c in range(1, 8):
+                        n = 16 << c
+                        if n <= len(own):
+                            like = float(vectors(own[:n], np.array([0, n]))[0] @ centres[names[first + r]])
+                            yield pa.record_batch([[names[first + r]], pa.array([c]), pa.array([like])], ["lang", "c", "v"])
+
+    importable(chosen)
+    # At most seven numbers for each text of the sample.
+    rows = chosen.mapInArrow(likeness, "lang string, c bigint, v double").collect()
+    for name in centres:
+        model.floors[name] = np.zeros(8)
+        for c in range(1, 8):
+            values = [r.v for r in rows if r.lang == name and r.c == c]
+            if values:
+                model.floors[name][c] = FLOOR * np.quantile(values, 0.1)
+    return model
+
+
 def fit_machine(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
     """Weights and offset of a linear machine: squared hinge loss with a ridge penalty, both
     classes of equal weight, by accelerated gradient steps of fixed length."""
@@ -209,7 +264,13 @@ def train(documents: DataFrame, text: str = "text", lang: str = "lang") -> Model
     if not rows:
         return Model()
     x = np.frombuffer(b"".join(bytes(r.vector) for r in rows), np.float32).reshape(len(rows), BUCKETS)
-    return fit(x, [r.lang for r in rows])
+    model = fit(x, [r.lang for r in rows])
+    names, learned = np.array([r.lang for r in rows], object), np.array([not _calibrates(v) for v in x])
+    for name in set(names):
+        mine = (names == name) & learned
+        centre = x[mine if mine.any() else names == name].mean(axis=0)
+        model.centres[name] = centre / max(float(np.linalg.norm(centre)), 1e-9)
+    return model
 
 
 def predictor(spark, model: Model):
@@ -224,7 +285,10 @@ def predictor(spark, model: Model):
         model = shared.value
         for first, last, data, offsets in slices(column, ROWS):
             if model.families:
-                names, sure = model.predict(vectors(data, offsets))
+                x = vectors(data, offsets)
+                names, sure = model.predict(x)
+                if model.floors:
+                    sure = np.where(model.strange(x, np.diff(offsets), names), 0.0, sure)
             else:
                 names, sure = [UNKNOWN] * (last - first), np.zeros(last - first)
             for i, name in enumerate(names):
@@ -243,7 +307,8 @@ def identify(documents: DataFrame, model: Model, text: str = "text") -> DataFram
     """Adds ``lang_pred`` and ``score`` (0 to 1) to every row, from the text alone.
 
     A text that is null or has no letter is ``und`` with score 0, and so is every text if
-    the model has learned no language. Repeated rows get the same answer; an empty table
+    the model has learned no language. Where the model is calibrated, a text that is unlike
+    its language has score 0. Repeated rows get the same answer; an empty table
     stays empty. Columns of the input named like the added ones are replaced.
     """
     importable(documents)
