@@ -76,12 +76,14 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(column: pa.Array, rows: int = SLICE_ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(
+    column: pa.Array, rows: int = SLICE_ROWS, size: int = SLICE_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """First row, row after the last, bytes and offsets of consecutive slices."""
     data, offsets = bytes_of(column)
     first = 0
     while first < len(column):
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         last = min(max(last, first + 1), first + rows, len(column))
         part = offsets[first : last + 1]
         yield first, last, data[part[0] : part[-1]], part - part[0]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hitledger.llm import bpe, decontaminate, language, lines, near_duplicates, quality, repeats, shards, urls, word_pieces
+from hitledger.llm import bpe, decontaminate, divergence, filter_audit, language, lines, near_duplicates, passages, quality, repeats, shards, urls, word_pieces
 from hitledger.llm.frames import table
 
 # The rules of the URL query: fixed values.
@@ -84,6 +84,20 @@ def op10_suffix_dedup(spark, sf_dir):
     return cut.select("doc_id", *repeats.ADDED)
 
 
+def op11_filter_audit(spark, sf_dir):
+    found = filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(*filter_audit.RESULT)
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_passage_dedup(spark, sf_dir):
+    cut = passages.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", *passages.ADDED)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -95,6 +109,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_sharding": op9_sharding,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_passage_dedup": op13_passage_dedup,
 }
 
 ORACLE = {
@@ -164,5 +181,80 @@ fits as (select p.n, r.host || r.path as rule, r.action from placed p join rules
   qualify row_number() over (partition by p.n order by length(r.host || r.path) desc) = 1)
 select page_id, host, path, rule, coalesce(action, 'allow') as verdict
 from placed left join fits using (n)
+""",
+    "op11_filter_audit": r"""
+with cut as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+  [x for x in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] as w from documents),
+ranked as (select *, min(doc_id) over (partition by t) as first from cut),
+marked as (select doc_id, part, cast(len(w) < 200 as int) + 2 * cast(100 * len(list_distinct(w)) < 50 * len(w) as int)
+  + 4 * cast(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) as int)
+  + 8 * cast(regexp_matches(t, '[#$%&*|]') as int) + 16 * cast(coalesce(doc_id > first, false) as int) as fails from ranked),
+said as (select doc_id, max(cast(quality = 1 as int)) as good, max(cast(toxic = 1 as int)) as toxic from labels group by doc_id),
+cells as (select part, fails, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+  from marked left join said using (doc_id) group by part, fails),
+letters(l, b) as (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders as (select v.l || w.l || x.l || y.l || z.l as filter_order, [v.b, w.b, x.b, y.b, z.b] as bits
+  from letters v, letters w, letters x, letters y, letters z where v.b + w.b + x.b + y.b + z.b = 31
+  and len(list_distinct([v.l, w.l, x.l, y.l, z.l])) = 5),
+steps as (select filter_order, unnest([1, 2, 3, 4, 5]) as step, bits from orders),
+placed as (select filter_order, step, bits[step] as own,
+  case when step > 1 then bits[1] else 0 end + case when step > 2 then bits[2] else 0 end
+  + case when step > 3 then bits[3] else 0 end + case when step > 4 then bits[4] else 0 end as before from steps),
+told as (select part, filter_order, step, own, fails, n, good, toxic, fails & own as mine, fails & before as theirs
+  from cells, placed),
+summed as (select part, filter_order, step, own,
+  sum(case when mine = 0 and theirs = 0 then n else 0 end) as kept,
+  sum(case when mine > 0 and theirs = 0 then n else 0 end) as removed,
+  sum(case when mine > 0 and theirs > 0 then n else 0 end) as redundant,
+  sum(case when fails = own then n else 0 end) as unique_fails,
+  sum(case when mine > 0 and theirs = 0 then good else 0 end) as good_lost,
+  sum(case when mine > 0 and theirs = 0 then toxic else 0 end) as toxic_lost
+  from told group by all),
+over_orders as (select part, own, sum(removed) as shapley from summed group by part, own)
+select part, filter_order, cast(step as int) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+  cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost, cast(shapley as bigint) as shapley
+from summed join over_orders using (part, own)
+""",
+    "op12_source_divergence": r"""
+with cut as (select doc_id, row_number() over () as n_doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+  unnest([x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x40\x5B-\x60\x7B-\x7F]+') if x <> '']) as term from documents),
+kept as (select lang, term, count(*) as total from cut group by lang, term having count(distinct n_doc) >= 10),
+sizes as (select lang, cast(count(*) as hugeint) as v, sum(total) as n from kept group by lang),
+grps as (select distinct coalesce(lang, '') as lang, coalesce(source, '') as source from documents),
+own as (select lang, source, term, count(*) as c from cut join kept using (lang, term) group by all),
+sums as (select lang, source, sum(c) as n from own group by all),
+wholes as (select g.lang, g.source, s.v, coalesce(u.n, 0) + 2 * s.v as whole, s.n + 2 * s.v as lang_whole
+  from grps g join sizes s using (lang) left join sums u using (lang, source)),
+shares as (select w.lang, w.source, k.term, coalesce(o.c, 0) as c, 1 + (1000000000 * (coalesce(o.c, 0) + 2)) // w.whole as p,
+  1 + (1000000000 * (k.total + 2)) // w.lang_whole as q
+  from wholes w join kept k using (lang) left join own o on o.lang = w.lang and o.source = w.source and o.term = k.term),
+priced as (select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select x.lang, x.source, 'pair' as part, y.source as item, coalesce(p.value, 0) as value
+  from grps x join grps y on x.lang = y.lang and x.source <> y.source
+  left join priced p on p.lang = x.lang and p.source = x.source and p.item = y.source),
+terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q)) // (p + q) as value
+  from shares where c > 0 and p > q),
+ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as int) as rank
+from ranked where part = 'pair' or rank <= 10
+""",
+    "op13_passage_dedup": r"""
+with cut as (select row_number() over () as n_doc, doc_id, [x for x in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+')
+  if x <> ''] as w from documents),
+starts as (select n_doc, doc_id, w, unnest(range(1, len(w) - 11)) as i from cut where len(w) >= 13),
+windows as (select n_doc, doc_id, i, array_to_string(w[i:i + 12], ' ') as said from starts),
+firsts as (select said, min(doc_id) as least from windows group by said),
+gone as (select distinct n_doc, k from (select n_doc, unnest(range(i, i + 13)) as k
+  from windows join firsts using (said) where doc_id > least)),
+words as (select n_doc, unnest(w) as word, unnest(range(1, len(w) + 1)) as k from cut),
+marked as (select t.n_doc, t.k, t.word, g.k is not null as out from words t left join gone g on t.n_doc = g.n_doc and t.k = g.k),
+sums as (select n_doc, count(*) filter (where out) as n_removed,
+  string_agg(word, ' ' order by k) filter (where not out) as kept from marked group by n_doc)
+select c.doc_id, cast(len(c.w) as bigint) as n_words, coalesce(s.n_removed, 0) as n_removed,
+  sha256(coalesce(s.kept, '')) as kept_sha256 from cut c left join sums s using (n_doc)
 """,
 }
