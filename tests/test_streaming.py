@@ -5,7 +5,7 @@ from hitledger.functions import record
 from hitledger.plans import traffic
 from hitledger.registry.bindings import access_log
 from hitledger.sources import tables, text, topic
-from hitledger.streaming import pipeline, sinks
+from hitledger.streaming import pipeline, replay, sinks, state
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = record.METRICS_SCHEMA
@@ -146,3 +146,44 @@ def test_latin1_stream(spark, tmp_path):
     path = str(tmp_path / "rows")
     sinks.run_to_table(pipeline.log_records(lines), path, str(tmp_path / "checkpoint")).awaitTermination()
     assert [r.url for r in spark.read.parquet(path).collect()] == ["/café.html"]
+
+
+def test_state_is_the_table(spark, folder, tmp_path):
+    path, checkpoint = str(tmp_path / "changes"), str(tmp_path / "checkpoint")
+    with state.rocksdb(spark):
+        sinks.run_to_changelog(pipeline.running_metrics(stream(spark, folder)), path, checkpoint).awaitTermination()
+    assert rows(state.read_metrics(spark, checkpoint)) == rows(traffic.metrics(access_log(spark, SF)))
+    assert "RocksDB" not in (spark.conf.get(state.PROVIDER, None) or "")
+
+
+def test_lines_are_numbered_in_order(spark, tmp_path):
+    lines = spark.range(1000, numPartitions=7).select(F.concat(F.lit("line "), F.col("id")).alias("value")).filter("id % 5 > 0 or id > 600")
+    total = replay.number_lines(lines, str(tmp_path))
+    numbered = spark.read.parquet(str(tmp_path / "numbered")).orderBy("number").collect()
+    assert [r.number for r in numbered] == list(range(total))
+    assert [r.value for r in numbered] == [r.value for r in lines.collect()]
+
+
+def test_paced_replay_equals_replay(spark, tmp_path):
+    lines = spark.range(101).select(F.concat(F.lit("line "), F.col("id")).alias("value"))
+    total = replay.number_lines(lines, str(tmp_path / "log"))
+    out, sizes = str(tmp_path / "out"), {}
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/n={batch_id}")
+        sizes[batch_id] = spark.read.parquet(f"{out}/n={batch_id}").count()
+
+    replay.play_all(spark, str(tmp_path / "log"), total, 3, 70, write, str(tmp_path / "c"))
+    assert sizes == {0: 70, 1: 70, 2: 70, 3: 70, 4: 23}
+    assert rows(spark.read.parquet(out).select("value")) == rows(text.replay(lines, 3))
+    # Started again, there is nothing left to play.
+    replay.play_all(spark, str(tmp_path / "log"), total, 3, 70, write, str(tmp_path / "c"))
+    assert sum(sizes.values()) == 303
+
+
+def test_batches_longer_than_the_log(spark, tmp_path):
+    lines = spark.range(10).select(F.col("id").cast("string").alias("value"))
+    total = replay.number_lines(lines, str(tmp_path / "log"))
+    for first, end in ((0, 10), (3, 27), (8, 12), (19, 51), (5, 5)):
+        want = sorted(str(i % 10) for i in range(first, end))
+        assert sorted(r.value for r in replay.passed(spark, str(tmp_path / "log"), total, first, end).collect()) == want
