@@ -5,75 +5,50 @@ chunks: an aggregate sums up each (key, chunk), a window over those summaries ca
 forward, and the row-level window runs per (key, chunk) with the carried value as its first
 row. Every key is cut, large or not, so no list of large ones is needed.
 
-Chunks hold about ``chunk`` rows of the whole log. Their boundaries come from the data:
-quantiles cut the axis into ``PIECES`` of equal numbers of rows, and each piece is divided
-evenly. So positions may be dense offsets or sparse time stamps, with gaps and outliers.
+Chunks hold ``chunk`` rows of the whole log at most, see ``borders``. A query finds its borders
+once and passes them to every running value it needs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitledger.operators.borders import find_borders, place_among
+
 CHUNK = 1_000_000
-# Pieces whose boundaries are quantiles.
-PIECES = 64
+
+# Rows of a chunk, or the borders of all chunks.
+Chunks = int | Sequence[int]
+Fold = Callable[[Column], Column]
 
 
 def running_count(
-    df: DataFrame,
-    keys: list[str],
-    position: str,
-    flag: Column,
-    out: str,
-    chunk: int = CHUNK,
-    sized_from: DataFrame | None = None,
+    df: DataFrame, keys: list[str], position: str, flag: Column, out: str, chunk: Chunks = CHUNK
 ) -> DataFrame:
     """Rows with ``flag`` up to and including this one, within ``keys``."""
     rows = df.withColumn("__in", F.when(flag, 1).otherwise(0).cast("long"))
-    return _running(rows, keys, [position], F.sum("__in"), F.sum, 0, out, chunk, sized_from)
+    return _running(rows, keys, [position], F.sum("__in"), F.sum, 0, out, chunk)
 
 
 def total_before(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    out: str,
-    chunk: int = CHUNK,
-    sized_from: DataFrame | None = None,
+    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, chunk: Chunks = CHUNK
 ) -> DataFrame:
     """The sum of ``value`` strictly before this row; null before the first."""
-    return _running(
-        df.withColumn("__in", value), keys, order, F.sum("__in"), F.sum, -1, out, chunk, sized_from
-    )
+    return _running(df.withColumn("__in", value), keys, order, F.sum("__in"), F.sum, -1, out, chunk)
 
 
 def largest_before(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    out: str,
-    chunk: int = CHUNK,
-    sized_from: DataFrame | None = None,
+    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, chunk: Chunks = CHUNK
 ) -> DataFrame:
     """The largest non-null ``value`` strictly before this row."""
-    return _running(
-        df.withColumn("__in", value), keys, order, F.max("__in"), F.max, -1, out, chunk, sized_from
-    )
+    return _running(df.withColumn("__in", value), keys, order, F.max("__in"), F.max, -1, out, chunk)
 
 
 def last_before(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: Column,
-    out: str,
-    chunk: int = CHUNK,
-    sized_from: DataFrame | None = None,
+    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, chunk: Chunks = CHUNK
 ) -> DataFrame:
     """The last non-null ``value`` strictly before this row, within ``keys``.
 
@@ -89,60 +64,31 @@ def last_before(
         -1,
         out,
         chunk,
-        sized_from,
     )
 
 
-def with_chunk(rows: DataFrame, position: str, sized_from: DataFrame, chunk: int) -> DataFrame:
-    """Rows with ``__chunk``, which never falls as positions rise.
-
-    The quantiles and the number of rows are one aggregate over ``position`` of
-    ``sized_from``, run as part of the query.
-    """
-    steps = F.array(*(F.lit(i / PIECES) for i in range(PIECES + 1)))
-    shape = sized_from.agg(
-        F.struct(F.percentile_approx(position, steps).alias("edges"), F.count("*").alias("rows"))
-    ).scalar()
-    # A column first: a subquery may not stand inside a higher-order function.
-    rows = rows.withColumn("__shape", shape)
-    edges, n, at = F.col("__shape.edges"), F.col("__shape.rows"), F.col(position)
-    piece = F.size(F.filter(edges, lambda edge: edge <= at))
-    piece = F.least(F.greatest(piece, F.lit(1)), F.lit(PIECES))
-    low, high = F.get(edges, piece - 1), F.get(edges, piece)
-    parts = F.ceil(n / (PIECES * chunk))
-    part = F.floor((at - low).cast("double") / (high - low + 1) * parts)
-    part = F.least(F.greatest(part, F.lit(0)), parts - 1)
-    return rows.withColumn("__chunk", F.when(n > chunk, piece * parts + part).otherwise(0)).drop("__shape")
+def with_chunk(rows: DataFrame, position: str, sized_from: DataFrame, chunk: Chunks) -> DataFrame:
+    """Rows with ``__chunk``, which never falls as positions rise. Where ``chunk`` is a
+    number, the borders are found in ``sized_from``, a table with a column of the same
+    positions that may be cheaper to read than ``rows``."""
+    borders = find_borders(sized_from, position, chunk) if isinstance(chunk, int) else chunk
+    return rows.withColumn("__chunk", place_among(F.col(position), borders))
 
 
-def _running(
-    rows: DataFrame,
-    keys: list[str],
-    order: list[str],
-    summary: Column,
-    fold: Callable[[Column], Column],
-    until: int,
-    out: str,
-    chunk: int,
-    sized_from: DataFrame | None,
-) -> DataFrame:
-    """``sized_from``: a table with a column of the same positions that is cheaper to read
-    than ``rows``."""
-    rows = with_chunk(rows, order[0], rows if sized_from is None else sized_from, chunk)
-    first = Window.unboundedPreceding
-    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(first, -1)
-    carried = (
-        rows.groupBy(*keys, "__chunk")
-        .agg(summary.alias("__sum"))
-        .select(*keys, "__chunk", fold(F.col("__sum")).over(earlier).alias("__in"))
+def carried_over(sums: DataFrame, keys: list[str], value: str, fold: Fold) -> DataFrame:
+    """From one row per (key, chunk): what the chunks before hold, as the first row of each
+    chunk for which there is something."""
+    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        sums.select(*keys, "__chunk", fold(F.col(value)).over(earlier).alias("__in"))
         .filter("__in is not null")
         .withColumn("__row", F.lit(False))
     )
-    line = (
-        Window.partitionBy(*keys, "__chunk")
-        .orderBy("__row", *order)
-        .rowsBetween(first, until)
-    )
+
+
+def run_along(rows: DataFrame, carried: DataFrame, keys: list[str], order: list[str], fold: Fold, until: int, out: str) -> DataFrame:
+    """Rows of ``__in`` and ``__chunk`` with the running value up to ``until`` rows ahead."""
+    line = Window.partitionBy(*keys, "__chunk").orderBy("__row", *order).rowsBetween(Window.unboundedPreceding, until)
     return (
         rows.withColumn("__row", F.lit(True))
         .unionByName(carried, allowMissingColumns=True)
@@ -150,3 +96,11 @@ def _running(
         .filter("__row")
         .drop("__in", "__chunk", "__row")
     )
+
+
+def _running(
+    rows: DataFrame, keys: list[str], order: list[str], summary: Column, fold: Fold, until: int, out: str, chunk: Chunks
+) -> DataFrame:
+    rows = with_chunk(rows, order[0], rows, chunk)
+    sums = rows.groupBy(*keys, "__chunk").agg(summary.alias("__sum"))
+    return run_along(rows, carried_over(sums, keys, "__sum", fold), keys, order, fold, until, out)

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.operators.ordered import CHUNK, largest_before, last_before, running_count, total_before
+from hitledger.operators.borders import find_borders, mirrored
+from hitledger.operators.ordered import CHUNK, carried_over, largest_before, last_before, run_along, total_before, with_chunk
 from hitledger.operators.overlap import stab
 from hitledger.operators.skew import HOT_ROWS, attach
 from hitledger.plans.oplog import SLOT, is_put, is_read, is_write, spans, touches, with_span
@@ -40,9 +41,10 @@ def _waits(
     went = arrivals.select(*SLOT, "tx_id", F.col("tx_end").alias("seq"), "tx_end", F.lit(1).alias("left"))
     change = F.when(F.col("left") == 0, 1).otherwise(-1).cast("long")
     order = ["seq", "left"]
-    line = total_before(came.union(went), SLOT, order, change, "present", chunk, sized_from=oplog)
+    borders = find_borders(oplog, "seq", chunk)
+    line = total_before(came.union(went), SLOT, order, change, "present", borders)
     longest = F.when(F.col("left") == 0, F.struct("tx_end", "tx_id"))
-    line = largest_before(line, SLOT, order, longest, "longest", chunk, sized_from=oplog)
+    line = largest_before(line, SLOT, order, longest, "longest", borders)
     return line.filter("left = 0 and present > 0").select(
         *SLOT, F.col("tx_id").alias(tx), F.col("present").alias("others"), F.col("longest.tx_id").alias(waits_for)
     )
@@ -150,8 +152,9 @@ def dirty_reads_by_writer(
     """
     slot_value = [*SLOT, "value"]
     puts = oplog.filter(is_put()).select("tx_id", *slot_value, "seq", (-F.col("seq")).alias("back"))
+    backwards = mirrored(find_borders(oplog, "seq", chunk))
     followed = last_before(
-        puts, ["tx_id", *slot_value], ["back"], F.col("seq"), "next_seq", chunk
+        puts, ["tx_id", *slot_value], ["back"], F.col("seq"), "next_seq", backwards
     )
     # The seq spreads a transaction that puts one value over and over.
     open_puts = attach(followed, spans(oplog), ["tx_id"], "tx_ops", ["seq"], hot_rows).select(
@@ -183,17 +186,44 @@ def non_repeatable_reads(oplog: DataFrame) -> DataFrame:
     )
 
 
-def phantom_reads(oplog: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def phantom_reads(oplog: DataFrame, chunk: int = CHUNK, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Nodes a transaction read more than once while others put keys there: the count of
-    others' puts differs between its first and its last read."""
-    ops = oplog.filter(is_put() | is_read()).select("seq", "tx_id", "node", "op")
-    counted = running_count(ops, ["node"], "seq", is_put(), "all_puts", chunk, sized_from=oplog)
-    counted = running_count(
-        counted, ["tx_id", "node"], "seq", is_put(), "own_puts", chunk, sized_from=oplog
+    others' puts differs between its first and its last read.
+
+    Others' counts never fall along the log, so of a transaction's reads of a node only the
+    first and the last matter. Their places among all puts of the node are looked up in one
+    running count, whose sums over earlier chunks come from the same aggregate as the reads.
+    """
+    place = ["tx_id", "node"]
+    borders = find_borders(oplog, "seq", chunk)
+    ops = with_chunk(oplog.filter(is_put() | is_read()).select("seq", *place, "op"), "seq", oplog, borders)
+    read_at = F.when(is_read(), F.col("seq"))
+    in_chunks = ops.groupBy(*place, "__chunk").agg(
+        F.min(read_at).alias("first"), F.max(read_at).alias("last"), F.count_if(is_put()).alias("puts")
+    )
+    readers = in_chunks.groupBy(*place).agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("puts").alias("tx_puts")
     )
-    others = F.when(is_read(), F.col("all_puts") - F.col("own_puts"))
+    # A put knows the reads of its transaction, and counts as its own before them.
+    puts = attach(ops.filter(is_put()).drop("op"), readers, place, "tx_puts", ["seq"], hot_rows)
+    own = [F.when(F.col("seq") < F.col(end), 1).otherwise(0).alias(f"own_{end}") for end in ("first", "last")]
+    puts = puts.select(*place, "seq", "__chunk", F.lit(1).cast("long").alias("__in"), *own)
+    ends = F.explode(F.array("first", "last")).alias("seq")
+    points = readers.filter("first < last").select(*place, ends)
+    points = with_chunk(points, "seq", oplog, borders).withColumn("__in", F.lit(0).cast("long"))
+    sums = in_chunks.groupBy("node", "__chunk").agg(F.sum("puts").alias("puts"))
+    carried = carried_over(sums, ["node"], "puts", F.sum)
+    line = run_along(puts.unionByName(points, allowMissingColumns=True), carried, ["node"], ["seq"], F.sum, 0, "all_puts")
+    counted = F.when(F.col("own_first").isNull(), F.col("all_puts"))
+
+    def others(of_reads, own: str):
+        return of_reads - F.coalesce(F.sum(own), F.lit(0))
+
     return (
-        counted.groupBy("tx_id", "node")
-        .agg(F.min(others).alias("first_count"), F.max(others).alias("last_count"))
+        line.groupBy(*place)
+        .agg(
+            others(F.min(counted), "own_first").alias("first_count"),
+            others(F.max(counted), "own_last").alias("last_count"),
+        )
         .filter("first_count <> last_count")
     )

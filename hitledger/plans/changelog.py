@@ -5,27 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitledger.operators.borders import find_borders
 from hitledger.operators.ordered import CHUNK, last_before
 from hitledger.operators.skew import HOT_ROWS
-from hitledger.plans.oplog import SLOT, is_read, is_write, with_span, written_value
+from hitledger.plans.oplog import SLOT, is_put, is_read, is_write, with_span, written_value
 
 
 def changelog_apply(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """State after all committed transactions, in commit order: the last write of every
     slot, unless it deletes."""
-    # The last write of each transaction and slot, before anything is joined to it.
-    writes = (
-        oplog.filter(is_write())
-        .groupBy("tx_id", *SLOT)
-        .agg(F.max(F.struct("seq", "op", "value")).alias("write"))
-    )
+    # Numbers only, in buffers of fixed width; what was put is fetched for the last ones.
+    writes = oplog.filter(is_write()).groupBy("tx_id", *SLOT).agg(F.max("seq").alias("seq"))
     done = with_span(writes, oplog, hot_rows).filter("tx_committed")
-    last = Window.partitionBy(*SLOT).orderBy(F.desc("tx_end"))
-    return (
-        done.withColumn("place", F.row_number().over(last))
-        .filter("place = 1 and write.op = 'put'")
-        .select(*SLOT, "write.value")
-    )
+    newest = Window.partitionBy(*SLOT).orderBy(F.desc("tx_end"))
+    last = done.withColumn("place", F.row_number().over(newest)).filter("place = 1").select(*SLOT, "seq")
+    # A last write that is a delete is not among the puts.
+    return last.join(oplog.filter(is_put()).select("seq", "value"), "seq").select(*SLOT, "value")
 
 
 def transaction_outcomes(oplog: DataFrame) -> DataFrame:
@@ -42,14 +37,14 @@ def resolve_reads(
 ) -> DataFrame:
     """The value every read must return: the transaction's own last write before it,
     else what was last committed before it, else nothing (the empty text)."""
+    borders = find_borders(oplog, "seq", chunk)
     own = last_before(
         oplog.select("seq", "tx_id", *SLOT, "op", "value"),
         ["tx_id", *SLOT],
         ["seq"],
         written_value(),
         "own",
-        chunk,
-        sized_from=oplog,
+        borders,
     )
     reads = own.filter(is_read()).select("tx_id", *SLOT, "seq", "own")
     last_writes = (
@@ -66,9 +61,7 @@ def resolve_reads(
     line = reads.withColumn("is_commit", F.lit(False)).unionByName(
         commits.withColumn("is_commit", F.lit(True)), allowMissingColumns=True
     )
-    based = last_before(
-        line, SLOT, ["seq", "is_commit"], F.col("written"), "base", chunk, sized_from=oplog
-    )
+    based = last_before(line, SLOT, ["seq", "is_commit"], F.col("written"), "base", borders)
     return based.filter("not is_commit").select(
         "seq", "tx_id", *SLOT, F.coalesce("own", "base", F.lit("")).alias("value")
     )
