@@ -63,6 +63,11 @@ def split_lines(lines: DataFrame, mode: str = "strict") -> tuple[DataFrame, Data
     return lines.filter(matches(mode)), lines.filter(~matches(mode))
 
 
+def bad_places(lines: DataFrame, mode: str = "strict", place: tuple[str, ...] = ("file", "block")) -> DataFrame:
+    """How many lines of each place there are, and how many the mode cannot read."""
+    return lines.groupBy(*place).agg(F.count("*").alias("lines"), F.count_if(~matches(mode)).alias("bad"))
+
+
 def status_code(text: Column) -> Column:
     return text.try_cast("int")
 

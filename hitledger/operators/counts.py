@@ -140,13 +140,22 @@ def url_metrics(hits: DataFrame) -> DataFrame:
             F.count("*").alias("total_requests"),
             F.sum("is_success").alias("success_count"),
             F.sum("is_error").alias("error_count"),
-            (F.sum("is_success").cast("double") / F.count("*") * 100).alias(
-                "success_rate_percent"
-            ),
+            success_rate(F.sum("is_success"), F.count("*")).alias("success_rate_percent"),
         )
     )
 
 
+def success_rate(successes: Column, requests: Column) -> Column:
+    return successes.cast("double") / requests * 100
+
+
+def merged_metrics(parts: DataFrame) -> DataFrame:
+    """The metrics of several parts of a log as those of the whole."""
+    names = ("total_requests", "success_count", "error_count")
+    sums = parts.groupBy("url").agg(*(F.sum(c).alias(c) for c in names))
+    return sums.withColumn("success_rate_percent", success_rate(F.col("success_count"), F.col("total_requests")))
+
+
 def counters(hits: DataFrame) -> DataFrame:
     """Per URL the total and two maps, status to count and day to count.
 

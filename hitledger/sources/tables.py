@@ -29,6 +29,11 @@ def write_text(blocks: DataFrame, path: str, column: str = "value") -> None:
     blocks.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_text_by(lines: DataFrame, path: str, folder: str, column: str = "value") -> None:
+    """Replace ``path`` with text files in a folder per value of ``folder``."""
+    lines.select(folder, F.col(column).alias("value")).write.mode("overwrite").partitionBy(folder).text(path)
+
+
 def append_jdbc(
     df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 8
 ) -> None:

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from hitledger.functions.encoding import drop_bad_bytes
 
-LINE_SCHEMA = "value string"
-
 
 def read_lines(spark: SparkSession, path: str, bad_bytes: str = "keep") -> DataFrame:
     """UTF-8 text; a directory of part files reads as one input.
@@ -19,8 +17,16 @@ def read_lines(spark: SparkSession, path: str, bad_bytes: str = "keep") -> DataF
 
 
 def read_latin1_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Latin-1 text. The text source knows only UTF-8, so this is a one-column CSV."""
-    return spark.read.schema(LINE_SCHEMA).options(**_LATIN1).csv(path)
+    """Latin-1 text. The text source splits bytes into lines and does not look at them, so
+    they can still be decoded as what they are."""
+    return _latin1(spark.read.text(path))
+
+
+def read_placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """UTF-8 text with the place of each line: ``file``, and ``block``, the byte at which the
+    part of the file begins that was read along with it."""
+    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    return spark.read.text(path).select("value", *place)
 
 
 def stream_lines(
@@ -35,17 +41,12 @@ def stream_lines(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if encoding == "latin-1":
-        return reader.schema(LINE_SCHEMA).options(**_LATIN1).csv(path)
+        return _latin1(reader.text(path))
     return _clean(reader.text(path), bad_bytes)
 
 
-_LATIN1 = {
-    "encoding": "ISO-8859-1",
-    "sep": "\u0001",
-    "quote": "",
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
+def _latin1(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("value", F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
 
 
 def _clean(lines: DataFrame, bad_bytes: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hitledger.functions import record
-from hitledger.functions.logline import parse
+from hitledger.functions.logline import bad_places, parse
 from hitledger.operators.documents import count_where, find_one, invariant_violations
 from hitledger.operators.upsert import latest, set_where, upsert
 from hitledger.session import scratch
@@ -32,6 +32,39 @@ def test_latin1_keeps_lines_whole(spark, tmp_path):
     assert rows == content.splitlines()
 
 
+def test_latin1_is_what_python_reads(spark, tmp_path):
+    (tmp_path / "log").write_bytes(b'one\n\ntwo\x01tail\n\n"q\xe9\xff\x80\xc3\xa9\r\nx\x00y\n \t\nlast')
+    with open(tmp_path / "log", encoding="latin-1") as lines:
+        want = [line.rstrip("\n") for line in lines]
+    assert [r.value for r in text.read_latin1_lines(spark, str(tmp_path / "log")).collect()] == want
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "log").write_bytes((tmp_path / "log").read_bytes())
+    stream = text.stream_lines(spark, str(tmp_path / "in"), encoding="latin-1")
+    out = str(tmp_path / "out")
+    query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+    query.start(out).awaitTermination()
+    assert [r.value for r in spark.read.parquet(out).collect()] == want
+
+
+def test_bad_lines_have_a_place(spark, tmp_path):
+    good = LINE.decode("latin-1").replace("é", "e")
+    for name, lines in (("a", [good, "junk\n", good]), ("b", [good]), ("c", ["junk\n"] * 3)):
+        (tmp_path / name).write_text("".join(lines))
+    placed = text.read_placed_lines(spark, str(tmp_path))
+    found = {r.file.rsplit("/", 1)[1]: (r.block, r.lines, r.bad) for r in bad_places(placed).collect()}
+    assert found == {"a": (0, 3, 1), "b": (0, 1, 0), "c": (0, 3, 3)}
+
+
+def test_blocks_of_a_large_file_are_told_apart(spark, tmp_path):
+    (tmp_path / "log").write_text("junk line\n" * 2000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        found = bad_places(text.read_placed_lines(spark, str(tmp_path))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(found) > 3 and sum(r.bad for r in found) == 2000
+
+
 def test_directory_of_part_files_and_overwrite(spark, tmp_path):
     path = str(tmp_path / "out")
     for texts in (["old"] * 3, ["a", "b", "c"]):
