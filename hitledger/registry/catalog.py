@@ -15,12 +15,17 @@ from hitledger.plans import audit, changelog, traffic
 from hitledger.registry.bindings import access_log, access_log_stream, oplog, table
 from hitledger.session import scratch
 from hitledger.sources import tables, text, topic
-from hitledger.streaming import pipeline, sinks
+from hitledger.sources.keyed import KeyedTable
+from hitledger.streaming import pipeline, sinks, state
+from hitledger.streaming import replay as player
+from hitledger.streaming.commits import BatchLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The state of the upsert query ends here, its batch holds the URLs seen since.
 UPSERT_SINCE = "2024-01-30 23:00:00"
+# Micro-batches of the paced replay.
+REPLAY_BATCHES = 4
 # Fewer customers with a positive balance than this breaks the invariant.
 MIN_POSITIVE = 50
 
@@ -72,27 +77,23 @@ def parse_loose(spark, sf_dir):
     return logline.intermediate(rows, keep=("event_id",))
 
 
-def intermediate_rows(spark, sf_dir):
-    """The page hits of the loose parser, out to tab-separated files and back."""
+def _tab_rows(spark, sf_dir):
+    """The loose parser's page hits, out to tab-separated files and back."""
     hits = logline.parse(access_log(spark, sf_dir), "loose", pages="suffix")
     path = scratch(spark, "intermediate")
     tables.write_text(logline.tab_lines(logline.intermediate(hits)), path)
     good, _ = logline.from_tab_lines(text.read_lines(spark, path))
-    return good.groupBy("url", "status", "day").agg(F.count("*").alias("count"))
+    return good
 
 
-def _loose_hits(spark, sf_dir):
-    """The loose parser's page hits, out to tab-separated files and back."""
-    hits = logline.parse(access_log(spark, sf_dir), "loose", pages="suffix")
-    path = scratch(spark, "intermediate")
-    tables.write_text(logline.tab_lines(logline.intermediate(hits)), path)
-    good, _ = logline.from_tab_lines(text.read_lines(spark, path))
-    return logline.from_intermediate(good)
+def intermediate_rows(spark, sf_dir):
+    return _tab_rows(spark, sf_dir).groupBy("url", "status", "day").agg(F.count("*").alias("count"))
 
 
 def url_report_loose(spark, sf_dir):
     """The report as made by mapper and reducer: lines, tab-separated files, report."""
-    return traffic.with_day_text(traffic.url_report(_loose_hits(spark, sf_dir)))
+    hits = logline.from_intermediate(_tab_rows(spark, sf_dir))
+    return traffic.with_day_text(traffic.url_report(hits))
 
 
 def anomalies_loose(spark, sf_dir):
@@ -116,6 +117,17 @@ def bad_lines(spark, sf_dir):
     return bad.select("event_id", "value")
 
 
+def bad_places(spark, sf_dir):
+    """Lines and bad lines of each day's file, and the block the first of them is in."""
+    log = access_log(spark, sf_dir).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    path = scratch(spark, "days")
+    tables.write_text_by(log, path, "day")
+    places = logline.bad_places(text.read_placed_lines(spark, path))
+    day = F.regexp_extract("file", "day=([^/]*)/", 1).alias("day")
+    first = F.min(F.when(F.col("bad") > 0, F.col("block"))).alias("first_bad_block")
+    return places.groupBy(day).agg(F.sum("lines").alias("lines"), F.sum("bad").alias("bad"), first)
+
+
 def page_rules(spark, sf_dir):
     rows = logline.parse(access_log(spark, sf_dir), "strict")
     return rows.agg(
@@ -165,6 +177,21 @@ def replay(spark, sf_dir):
     return traffic.metrics(text.replay(access_log(spark, sf_dir), 3))
 
 
+def replay_paced(spark, sf_dir):
+    """Three rounds of the log as a stream of a known number of lines per batch."""
+    path = scratch(spark, "replay")
+    total = player.number_lines(access_log(spark, sf_dir), f"{path}/log")
+    out = BatchLog(spark, f"{path}/hits")
+
+    def write(lines, batch_id):
+        hits = traffic.metrics(lines).select(*record.METRICS_SCHEMA.fieldNames())
+        out.add(hits, batch_id, "replay")
+
+    per_batch = -(-3 * total // REPLAY_BATCHES)
+    player.play_all(spark, f"{path}/log", total, 3, per_batch, write, f"{path}/checkpoint")
+    return counts.merged_metrics(out.read(record.METRICS_SCHEMA))
+
+
 def upsert_metrics(spark, sf_dir):
     """State and batch come from one aggregate: per URL the counts up to the date, the
     counts up to now, and whether it was seen since."""
@@ -178,6 +205,17 @@ def upsert_metrics(spark, sf_dir):
     return latest(changes, ["url"], "version").drop("version")
 
 
+def upsert_table(spark, sf_dir):
+    """The metrics up to the date as a keyed table, and those of the URLs seen since put in."""
+    hits = logline.parse(access_log(spark, sf_dir), "stream", pages="contains", keep=("ts",))
+    since = F.lit(UPSERT_SINCE).cast("timestamp_ntz")
+    table_ = KeyedTable(spark, scratch(spark, "metrics"), record.METRICS_SCHEMA, "url")
+    table_.upsert(counts.url_metrics(hits.filter(F.col("ts") < since)))
+    seen = hits.filter(F.col("ts") >= since).select("url").distinct()
+    table_.upsert(counts.url_metrics(hits).join(seen, "url", "left_semi"))
+    return table_.read()
+
+
 def text_roundtrip(spark, sf_dir):
     path = scratch(spark, "lines")
     tables.write_text(access_log(spark, sf_dir), path)
@@ -240,6 +278,15 @@ def stream_metrics(spark, sf_dir):
     return sinks.read_changelog(spark, f"{out}/changes", record.METRICS_SCHEMA, ["url"])
 
 
+def state_metrics(spark, sf_dir):
+    """Running metrics as the stream's own state has them; what it wrote is not looked at."""
+    rows = pipeline.running_metrics(pipeline.log_records(access_log_stream(spark, sf_dir)))
+    out = scratch(spark, "table")
+    with state.rocksdb(spark):
+        sinks.run_to_changelog(rows, f"{out}/changes", f"{out}/checkpoint").awaitTermination()
+    return state.read_metrics(spark, f"{out}/checkpoint")
+
+
 def stream_daily(spark, sf_dir):
     """All windows, those still open with ``final`` false."""
     records = pipeline.log_records(access_log_stream(spark, sf_dir))
@@ -342,22 +389,26 @@ QUERIES: dict[str, Query] = {
     "parse_stream": parse_stream,
     "event_times": event_times,
     "bad_lines": bad_lines,
+    "bad_places": bad_places,
     "page_rules": page_rules,
     "flagged_hits": flagged_hits,
     "substring_count": substring_count,
     "text_roundtrip": text_roundtrip,
     "latin1_roundtrip": latin1_roundtrip,
     "replay": replay,
+    "replay_paced": replay_paced,
     "url_metrics": _metrics,
     "metrics_top15": on_metrics(traffic.metrics_top),
     "metrics_dashboard": on_metrics(traffic.metrics_dashboard),
     "metrics_preview": on_metrics(traffic.metrics_preview),
     "total_errors": on_metrics(traffic.total_errors),
     "upsert_metrics": upsert_metrics,
+    "upsert_table": upsert_table,
     "topic_roundtrip": topic_roundtrip,
     "metrics_topic": metrics_topic,
     "stream_parse": stream_parse,
     "stream_metrics": stream_metrics,
+    "state_metrics": state_metrics,
     "stream_daily": stream_daily,
     "changelog_apply": on_oplog(changelog.changelog_apply),
     "outcomes": on_oplog(changelog.transaction_outcomes),

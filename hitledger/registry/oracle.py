@@ -132,6 +132,14 @@ best as (select * from totals order by total desc, url limit 10)"""
 
 _LOOSE_REPORT = _REPORT.replace(_HITS, _LOOSE_HITS)
 
+_UPSERTED = f"""with {_LOG}, {_STREAM_ROWS},
+older as (select * from stream_rows where ts < timestamp '{UPSERT_SINCE}'),
+old_metrics as ({_metrics_of('older')}),
+new_metrics as ({_metrics_of('stream_rows')}),
+seen as (select url from stream_rows where ts >= timestamp '{UPSERT_SINCE}' and url like '%.html%')
+select * from old_metrics where url not in (select url from seen)
+union all select * from new_metrics where url in (select url from seen)"""
+
 ORACLE: dict[str, str] = {
     "url_report_loose": f"""with {_LOOSE_REPORT}
 select * replace (coalesce(high, 'none') as high, coalesce(low, 'none') as low) from report""",
@@ -209,6 +217,11 @@ select event_id, cast(epoch(date_trunc('second', ts) + interval 4 hour) as bigin
   as epoch_seconds from stream_rows""",
     "bad_lines": f"""with {_LOG}
 select event_id, value from access_log where not regexp_matches(value, '{STRICT}')""",
+    "bad_places": f"""with {_LOG}
+select strftime(ts, '%Y-%m-%d') as day, count(*) as lines,
+  count(*) filter (not regexp_matches(value, '{STRICT}')) as bad,
+  cast(case when count(*) filter (not regexp_matches(value, '{STRICT}')) > 0 then 0 end as bigint) as first_bad_block
+from access_log group by all""",
     "page_rules": f"""with {_LOG}, {_STRICT_ROWS}
 select count(*) filter (regexp_matches(url, '(?i)\\.html?$')) as regex,
   count(*) filter (lower(url) like '%.html' or lower(url) like '%.htm') as suffix,
@@ -223,6 +236,8 @@ select count(*) as n from access_log where value like '%/p7.gif%'""",
     "latin1_roundtrip": f"""with {_LOG}, {_STREAM_ROWS}
 select url, count(*) as count from stream_rows group by url""",
     "replay": f"""with {_LOG}, {_STREAM_ROWS},
+again as (select s.* from stream_rows s, range(3)) {_metrics_of('again')}""",
+    "replay_paced": f"""with {_LOG}, {_STREAM_ROWS},
 again as (select s.* from stream_rows s, range(3)) {_metrics_of('again')}""",
     "url_metrics": f"with {_METRICS} select * from metrics",
     "metrics_top15": f"""with {_METRICS}
@@ -234,18 +249,14 @@ select url as "URL", total_requests as "Requests", success_rate_percent as "Succ
     "metrics_preview": f"with {_METRICS} select * from metrics order by url limit 5",
     "total_errors": f"""with {_METRICS}
 select cast(sum(error_count) as bigint) as total_errors from metrics""",
-    "upsert_metrics": f"""with {_LOG}, {_STREAM_ROWS},
-older as (select * from stream_rows where ts < timestamp '{UPSERT_SINCE}'),
-old_metrics as ({_metrics_of('older')}),
-new_metrics as ({_metrics_of('stream_rows')}),
-seen as (select url from stream_rows where ts >= timestamp '{UPSERT_SINCE}' and url like '%.html%')
-select * from old_metrics where url not in (select url from seen)
-union all select * from new_metrics where url in (select url from seen)""",
+    "upsert_metrics": _UPSERTED,
+    "upsert_table": _UPSERTED,
     "topic_roundtrip": f"""with {_LOG}, {_STREAM_ROWS}
 select * exclude (ts, event_id) from stream_rows""",
     "metrics_topic": f"with {_METRICS} select * from metrics",
     "stream_parse": f"with {_LOG}, {_STREAM_ROWS} select * exclude (ts) from stream_rows",
     "stream_metrics": f"with {_METRICS} select * from metrics",
+    "state_metrics": f"with {_METRICS} select * from metrics",
     "stream_daily": _STREAM_DAILY,
     "changelog_apply": f"""with {_OPS}, {_TOUCH}
 select node, key, value from (
