@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from itertools import permutations
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -133,3 +134,96 @@ def judged(url, rules):
             if best is None or len(rule) > len(best[0]):
                 best = rule, action
     return host, path, best and best[0], best[1] if best else "allow"
+
+
+def failures(docs, words=200, distinct=50, capitals=2):
+    """Letters of the filters that each (doc_id, text) fails, in the order of ``docs``."""
+    out = []
+    for doc_id, text in docs:
+        text = text or ""
+        found = WORD.findall(text)
+        tests = {
+            "A": len(found) < words,
+            "B": 100 * len(set(found)) < distinct * len(found),
+            "C": 100 * len(re.findall("[A-Z]", text)) > capitals * len(text),
+            "D": re.search(r"[#$%&*|]", text) is not None,
+            "E": doc_id is not None and any(i is not None and i < doc_id and (t or "") == text for i, t in docs),
+        }
+        out.append({letter for letter, fails in tests.items() if fails})
+    return out
+
+
+def interactions(docs, labels, **limits):
+    """(part, order, step) to its counts; docs are (doc_id, text, part), labels (doc_id, quality,
+    toxic). Every order is played through."""
+    fails = failures([(i, t) for i, t, _ in docs], **limits)
+    good = {i for i, quality, _ in labels if quality == 1 and i is not None}
+    toxic = {i for i, _, is_toxic in labels if is_toxic == 1 and i is not None}
+    out, shapley = {}, Counter()
+    for part in {p or "" for _, _, p in docs}:
+        mine = [(i, f) for (i, _, p), f in zip(docs, fails, strict=True) if (p or "") == part]
+        for order in map("".join, permutations("ABCDE")):
+            left = mine
+            for step, letter in enumerate(order, 1):
+                gone = [(i, f) for i, f in left if letter in f]
+                left = [(i, f) for i, f in left if letter not in f]
+                failing = [f for _, f in mine if letter in f]
+                shapley[part, letter] += len(gone)
+                out[part, order, step] = (
+                    len(left), len(gone), len(failing) - len(gone), sum(f == {letter} for f in failing),
+                    sum(i in good for i, _ in gone), sum(i in toxic for i, _ in gone),
+                )
+    return {(p, o, s): (*row, shapley[p, o[s - 1]]) for (p, o, s), row in out.items()}
+
+
+def divergence(docs, min_docs=10, top=10):
+    """Rows of (lang, source, part, item, value, rank); docs are (text, lang, source)."""
+    term = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    counts, spread = {}, {}
+    for text, lang, source in docs:
+        lang, source = lang or "", source or ""
+        found = term.findall(folded(text))
+        counts.setdefault(lang, {}).setdefault(source, Counter()).update(found)
+        spread.setdefault(lang, Counter()).update(set(found))
+    rows = []
+    for lang, sources in counts.items():
+        kept = sorted(t for t, n in spread[lang].items() if n >= min_docs)
+        whole = Counter()
+        for of_source in sources.values():
+            whole.update(of_source)
+
+        def shares(n, kept=kept):
+            total = sum(n[t] for t in kept) + 2 * len(kept)
+            return {t: 1 + 10**9 * (n[t] + 2) // total for t in kept}
+
+        def price(p, q):
+            return (p - q) ** 2 // (p + q)
+
+        p = {s: shares(n) for s, n in sources.items()}
+        q = shares(whole)
+        for s in sources:
+            pairs = [("pair", o, sum(price(p[s][t], p[o][t]) for t in kept)) for o in sources if o != s]
+            terms = [("term", t, price(p[s][t], q[t])) for t in kept if sources[s][t] and p[s][t] > q[t]]
+            for found, most in ((pairs, None), (terms, top)):
+                found = sorted(found, key=lambda r: (-r[2], r[1].encode()))[:most]
+                rows += [(lang, s, *r, rank) for rank, r in enumerate(found, 1)]
+    return sorted(rows)
+
+
+def without_passages(docs, window=13):
+    """(doc_id, text) to (n_words, n_removed, kept_sha256)."""
+    first = {}
+    split = [(doc_id, text, WORD.findall(text or "")) for doc_id, text in docs]
+    for doc_id, _, words in split:
+        for i in range(len(words) - window + 1 if doc_id is not None else 0):
+            said = tuple(words[i : i + window])
+            first[said] = min(first.get(said, doc_id), doc_id)
+    out = {}
+    for doc_id, text, words in split:
+        gone = set()
+        for i in range(len(words) - window + 1 if doc_id is not None else 0):
+            if first[tuple(words[i : i + window])] < doc_id:
+                gone.update(range(i, i + window))
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        out[doc_id, text] = len(words), len(gone), digest(kept.encode())
+    return out

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from hitledger.llm import bpe, decontaminate, language, lines, near_duplicates, quality, repeats, shards, urls, word_pieces
+from hitledger.llm import bpe, decontaminate, filter_audit, language, lines, near_duplicates, passages, quality, repeats, shards, urls, word_pieces
 
 LONG = " ".join(f"word{i % 997} and{i}" for i in range(20_000))
 ROWS = [
@@ -53,6 +53,8 @@ OPERATORS = {
     "lines": (lambda f: lines.drop_boilerplate(f, 2), lines.ADDED),
     "bpe": (bpe.transcode, bpe.ADDED),
     "shards": (lambda f: shards.shard(f, 3), ("size", "text_crc32", "shard", "slot")),
+    "filter_audit": (filter_audit.measure, filter_audit.MEASURES),
+    "passages": (passages.remove_repeats, (*passages.ADDED, "kept_text")),
     "repeats": (repeats.remove_repeats, (*repeats.ADDED, "kept_bytes")),
     "urls": (
         lambda f: urls.judge(f.withColumn("url", F.col("text")), urls.rules_frame(f.sparkSession, [("block", "net/")])).drop("url"),
