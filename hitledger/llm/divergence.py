@@ -3,7 +3,7 @@ terms tell a source from its language.
 
 Terms are counted once over all texts: equal terms of a slice of texts become one row inside
 the task (``spans`` compares them byte by byte), and sums of these rows do the rest. A
-language's terms are numbered in blocks of some ``BLOCK``, so a source is a few sorted arrays
+language's terms are numbered in blocks of at most some ``BLOCK``, so a source is a few sorted arrays
 of (term id, count), of terms that it has.
 
 A pair of sources is priced block by block. Sources are dealt to tiles of some ``TILE``, and a
@@ -235,10 +235,11 @@ def divergence(
     kept = terms.groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs)
     kept = stored(kept.select("lang", "term", "total"), "kept")
     sizes = kept.groupBy("lang").agg(F.count("*").alias("v"), (F.sum("total") + EXTRA * F.count("*")).alias("lang_whole"))
-    blocks = F.ceil(F.col("v") / BLOCK)
-    placed = kept.join(sizes, "lang").withColumn("block", F.pmod(F.xxhash64("term"), blocks).cast("int"))
+    # One number for all languages, so that nothing is dealt by language alone.
+    blocks = -(-(sizes.agg(F.max("v")).first()[0] or 1) // BLOCK)
+    placed = kept.withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int"))
     placed = placed.withColumn("id", F.row_number().over(Window.partitionBy("lang", "block").orderBy("term")))
-    held = stored(terms.select("lang", "source", "term", "n").join(placed.drop("v", "lang_whole"), ["lang", "term"]), "held")
+    held = stored(terms.select("lang", "source", "term", "n").join(placed, ["lang", "term"]), "held")
 
     own = held.groupBy("lang", "source").agg(F.sum("n").alias("own"))
     groups = counted.filter("term = ''").select("lang", "source").join(own, ["lang", "source"], "left").join(sizes, "lang", "left")
@@ -255,7 +256,7 @@ def divergence(
     arrays = held.groupBy("lang", "source", "block").agg(entries.alias("entries"))
     arrays = arrays.select("lang", "source", "block", F.col("entries.id").alias("ids"), F.col("entries.n").alias("counts"))
     # A source has an array in every block, if an empty one.
-    every = groups.filter("v > 0").select("lang", "source", "whole", F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)).alias("block"))
+    every = groups.filter("v > 0").select("lang", "source", "whole", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     empty = F.array().cast("array<int>"), F.array().cast("array<bigint>")
     arrays = every.join(arrays, ["lang", "source", "block"], "left")
     arrays = arrays.withColumns({"ids": F.coalesce("ids", empty[0]), "counts": F.coalesce("counts", empty[1])})
