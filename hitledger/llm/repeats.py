@@ -15,13 +15,18 @@ always meet:
    anchor have none. The others are cut into cells, the windows with their anchor at one of
    17 neighbouring places; all windows of a cell share 84 bytes, and cells meet by the hash
    of these. Cells whose 84 bytes are unique are out.
-5. What is left is dealt to groups by that hash. A group's cells are joined to one text, its
-   suffixes are sorted by linear grouping (see ``suffixes``), and suffixes that agree in 100
-   bytes are neighbours then: all but the earliest are repeated.
-
-Repeated windows of both kinds are merged per document and cut out. Candidates are found by
-hashes of 64 bits; equal windows cannot be missed, and what is removed in step 5 has been
-compared byte by byte.
+5. What is left is dealt to groups by that hash. Within a group, cells are trimmed to the
+   windows whose hash occurs twice, and of equal stretches that are left the earliest goes on,
+   if another one still shares a window with it. These are joined to one text, its suffixes
+   are sorted by linear grouping (see ``suffixes``), and suffixes that agree in 100 bytes are
+   neighbours then: all but the earliest are repeated.
+6. Cells of one core that would be more than a group by themselves, such as those of a short
+   passage that very many documents have in other surroundings, go to no task as a whole:
+   their windows are rows, and equal ones are grouped by their bytes.
+
+Repeated windows are merged per document and cut out. Candidates are found by hashes of 64
+bits; equal windows cannot be missed, and what is removed in steps 5 and 6 has been compared
+byte by byte.
 """
 
 from __future__ import annotations
@@ -155,18 +160,58 @@ def repeated_windows(pieces: list[bytes]) -> list[tuple[int, int]]:
     return [(owners[place], int(place - starts[owners[place]])) for place in found]
 
 
+def trimmed(pieces: list[bytes]) -> list[tuple[int, int, bytes]]:
+    """The stretches (piece, place, bytes) of windows whose hash other windows have, too."""
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    ends = np.cumsum(np.array([len(piece) for piece in pieces], np.int64))
+    owner = np.repeat(np.arange(len(pieces)), np.diff(ends, prepend=0))
+    count = len(data) - WINDOW + 1
+    if count < 1:
+        return []
+    inside = np.flatnonzero(owner[:count] == owner[WINDOW - 1 :])
+    sums = batches.prefix_sums(batches.PLAIN[data])
+    _, same, n = np.unique(batches.mix(batches.stretch_hash(sums, inside, inside + WINDOW)), return_inverse=True, return_counts=True)
+    at = inside[n[same] > 1]
+    first = np.ones(len(at), bool)
+    first[1:] = (np.diff(at) > 1) | (owner[at[1:]] != owner[at[:-1]])
+    last = np.roll(first, -1)
+    starts = ends - np.diff(ends, prepend=0)
+    return [
+        (int(owner[a]), int(a - starts[owner[a]]), data[a : b + WINDOW].tobytes())
+        for a, b in zip(at[first], at[last], strict=True)
+    ]
+
+
+def repeated_stretches_of(pieces: list[bytes]) -> list[tuple[int, int, int]]:
+    """Of pieces in the order of the corpus, the stretches (piece, begin, end) of windows that
+    come earlier as well."""
+    found, firsts = [], {}
+    for number, place, said in trimmed(pieces):
+        if said in firsts:
+            found.append((number, place, place + len(said)))
+        else:
+            firsts[said] = number, place
+    # What still shares a window with another one, or with itself, is sorted.
+    left = list(firsts)
+    sharing = sorted({number for number, _, _ in trimmed(left)})
+    for k, place in repeated_windows([left[number] for number in sharing]):
+        number, begin = firsts[left[sharing[k]]]
+        found.append((number, begin + place, begin + place + WINDOW))
+    return found
+
+
 def _sorted_group(table: pa.Table) -> pa.Table:
     """The repeated windows of a group of cells, as stretches of their documents."""
-    rows = sorted(table.to_pylist(), key=lambda r: (r["id"] is not None, r["id"], r["key"], r["begin"]))
-    windows: dict[int, list[int]] = {}
-    for number, place in repeated_windows([r["piece"] for r in rows]):
-        windows.setdefault(number, []).append(rows[number]["begin"] + place)
-    out = {"id": [], "key": [], "begin": [], "end": []}
-    for number, begins in windows.items():
-        for begin, end in merged((begin, begin + WINDOW) for begin in begins):
-            for name, value in (("id", rows[number]["id"]), ("key", rows[number]["key"]), ("begin", begin), ("end", end)):
-                out[name].append(value)
-    return pa.table(out, pa.schema([table.schema.field("id"), ("key", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())]))
+    rows = sorted(table.to_pylist(), key=lambda r: (r["id"] is not None, r["id"], r["key"], r["begin"], len(r["piece"])))
+    # Rows alike in id and text bring the same cells.
+    rows = [r for k, r in enumerate(rows) if not k or r != rows[k - 1]]
+    stretches: dict[tuple, list[tuple[int, int]]] = {}
+    for number, begin, end in repeated_stretches_of([r["piece"] for r in rows]):
+        row = rows[number]
+        stretches.setdefault((row["id"], row["key"]), []).append((row["begin"] + begin, row["begin"] + end))
+    out = [(*of, begin, end) for of, found in stretches.items() for begin, end in merged(found)]
+    kind = pa.schema([table.schema.field("id"), ("key", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())])
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), kind)] if out else [pa.array([], f.type) for f in kind], schema=kind)
 
 
 def merged(stretches) -> list[tuple[int, int]]:
@@ -195,8 +240,9 @@ def repeated_stretches(documents: DataFrame) -> DataFrame:
     """``id``, ``key``, ``begin``, ``end`` (bytes) of what is repeated, from documents of
     ``id``, ``key`` and ``text``; stretches may overlap."""
     id_type = dict(documents.dtypes)["id"]
+    # Written before they are joined, so that a hot key's rows can be split.
     anchors = batches.map_batches(documents.select("text"), _anchors, "anchor bigint, n bigint")
-    several = anchors.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor")
+    several = stored(anchors.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1").select("anchor"), "several")
     found = batches.map_batches(
         documents, _runs, f"anchor bigint, class bigint, id {id_type}, key bigint, place bigint"
     )
@@ -212,7 +258,7 @@ def repeated_stretches(documents: DataFrame) -> DataFrame:
         .filter(~here.eqNullSafe(F.col("first")))
         .select("id", "key", begin.alias("begin"), (begin + n - 1 + WINDOW).alias("end"))
     )
-    mixed = classes.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    mixed = stored(classes.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "mixed")
     own = F.col("place").bitwiseAND(F.lit(65535))
     leaders = classes.join(mixed, "anchor").select(
         "first.id", "first.key", F.shiftleft("first.begin", 16).bitwiseOR(own).alias("place")
@@ -222,20 +268,32 @@ def repeated_stretches(documents: DataFrame) -> DataFrame:
     cells = batches.map_batches(
         texts.filter("places is not null"), _cells, f"core bigint, id {id_type}, key bigint, begin bigint, piece binary"
     )
-    # Rows alike in id and text bring the same cells.
-    cells = stored(cells, "cells").distinct()
-    shared = cells.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
+    cells = stored(cells, "cells")
+    size = F.sum(F.octet_length("piece")).alias("size")
+    shared = stored(cells.groupBy("core").agg(size, F.count("*").alias("n")).filter("n > 1").drop("n"), "cores")
     cells = stored(cells.join(shared, "core"), "shared")
-    size = cells.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    groups = size // GROUP_BYTES + 1
+    few = cells.filter(F.col("size") <= GROUP_BYTES)
+    groups = (few.agg(F.sum(F.octet_length("piece"))).first()[0] or 0) // GROUP_BYTES + 1
     batches.importable(cells)
     sorted_ = (
-        cells.withColumn("group", F.pmod("core", F.lit(groups)))
+        few.withColumn("group", F.pmod("core", F.lit(groups)))
         .select("group", "id", "key", "begin", "piece")
         .groupBy("group")
         .applyInArrow(_sorted_group, f"id {id_type}, key bigint, begin bigint, end bigint")
     )
-    return copies.unionByName(sorted_)
+    return copies.unionByName(sorted_).unionByName(_repeated_as_rows(cells.filter(F.col("size") > GROUP_BYTES)))
+
+
+def _repeated_as_rows(cells: DataFrame) -> DataFrame:
+    """Windows of cells that an earlier one has as well, grouped by their bytes."""
+    places = F.explode(F.sequence(F.lit(0), (F.octet_length("piece") - WINDOW).cast("int"))).alias("place")
+    windows = cells.select("id", "key", "begin", "piece", places)
+    said = F.substring("piece", F.col("place") + 1, F.lit(WINDOW)).alias("window")
+    windows = stored(windows.select("id", "key", (F.col("begin") + F.col("place")).alias("begin"), said), "hot_windows")
+    here = F.struct("id", "key", "begin")
+    earliest = windows.groupBy("window").agg(F.min(here).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    later = windows.join(stored(earliest.select("window", "first"), "hot_earliest"), "window")
+    return later.filter(~here.eqNullSafe(F.col("first"))).select("id", "key", "begin", (F.col("begin") + WINDOW).alias("end"))
 
 
 def _with(documents: DataFrame, found: DataFrame) -> DataFrame:
