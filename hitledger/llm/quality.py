@@ -10,15 +10,10 @@ the median, and the width to either side follows from the quartiles, so junk nei
 nor widens the band much. A class of few texts has its language's band. Marks between words
 are easy to foresee, so a second band is for words of letters and digits alone. Above a band
 is noise, below it endless repetition.
-
-Besides, there is a model of order four over bytes folded to 64 symbols (``count_grams``,
-``build``, ``score``), of 64^4 entries at most. ``judge`` does not use it.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,8 +22,6 @@ from pyspark.sql import functions as F
 from hitledger.llm import batches, word_model
 from hitledger.llm.frames import stored, without
 
-ORDER = 4
-SYMBOL_BITS = 6
 # Factors of the band's width, below and above the middle.
 LOWER, UPPER = 1.0, 1.0
 # Width of a band in robust deviations, and fewest texts for a band of a length class.
@@ -41,8 +34,6 @@ BANDS = ("__all", "__letters")
 MIN_WORDS = 20
 MAX_REPEATED = 30
 REPEAT_WINDOW = 8
-# N-grams a task gathers before it adds up equal ones.
-GATHERED = 4_000_000
 
 ADDED = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "log_perplexity", "kept",
@@ -53,85 +44,6 @@ IS_SYMBOL = ~batches.word_class(b"#*$%&|<>")
 NEWLINE = 10
 
 
-def _folds() -> np.ndarray:
-    """Bytes to 64 symbols: letters without case, one symbol for digits, one for blanks, four
-    kinds of other ASCII, and the low five bits of a byte beyond ASCII."""
-    table = np.zeros(256, np.uint32)
-    for b in range(256):
-        c = chr(b)
-        if b >= 128:
-            table[b] = 32 + (b & 31)
-        elif c.isalpha():
-            table[b] = 1 + ord(c.lower()) - ord("a")
-        elif c.isdigit():
-            table[b] = 27
-        elif b > 32:
-            table[b] = 28 if c in ".," else 29 if c in "'-;:!?\"()" else 30 if IS_SYMBOL[b] else 31
-    return table
-
-
-FOLDS = _folds()
-
-
-def grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The codes of all n-grams of the highest order, and how many come before each row."""
-    if len(data) < ORDER:
-        return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    folded = FOLDS[data]
-    count = len(data) - ORDER + 1
-    codes = np.zeros(count, np.uint32)
-    for k in range(ORDER):
-        codes = (codes << np.uint32(SYMBOL_BITS)) | folded[k : k + count]
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    inside = row[:count] == row[ORDER - 1 :]
-    return codes[inside].astype(np.int64), np.searchsorted(row[:count][inside], np.arange(len(offsets)))
-
-
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-    return codes, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
-
-
-def count_grams(texts: DataFrame) -> DataFrame:
-    """``code`` and ``n`` of every n-gram of the highest order in all texts."""
-
-    def count(found):
-        parts, gathered = [], 0
-        for batch in found:
-            for _, _, data, offsets in batches.slices(batch.column("text")):
-                parts.append(np.unique(grams(data, offsets)[0], return_counts=True))
-                gathered += len(parts[-1][0])
-                if gathered > GATHERED:
-                    parts = [_summed(parts)]
-                    gathered = 0
-        if parts:
-            codes, n = _summed(parts)
-            yield pa.record_batch([pa.array(codes), pa.array(n)], ["code", "n"])
-
-    batches.importable(texts)
-    counted = texts.select("text").mapInArrow(count, "code bigint, n bigint")
-    return counted.groupBy("code").agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Level:
-    """One order of the model, by ascending hash of the n-gram's code."""
-
-    keys: np.ndarray
-    log_probability: np.ndarray
-    # What a longer n-gram that is not known, with this as its context, costs.
-    log_backoff: np.ndarray
-
-    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys = hashed(codes)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
-
-
-def hashed(codes: np.ndarray) -> np.ndarray:
-    return batches.mix(codes.astype(np.uint64) + np.uint64(1))
-
-
 def discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
     """What is taken off a count of 0, 1, 2, and 3 or more; a half where a corpus is too
     small to tell."""
@@ -143,61 +55,6 @@ def discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
     return np.clip(taken, 0, [0, 0.95, 1.95, 2.95])
 
 
-def build(counts: DataFrame) -> list[Level]:
-    """The model, lowest order first, from the counts of the highest order."""
-    tables, table = [counts], counts
-    for order in range(ORDER - 1, 0, -1):
-        low = F.lit((1 << SYMBOL_BITS * order) - 1)
-        table = table.groupBy(F.col("code").bitwiseAND(low).alias("code")).agg(F.count("*").alias("n"))
-        tables.insert(0, table)
-    levels: list[Level] = []
-    uniform = np.log(1.0 / (1 << SYMBOL_BITS))
-    for order, table in enumerate(tables, start=1):
-        few = table.groupBy("n").agg(F.count("*").alias("grams")).filter("n <= 4").collect()
-        taken = discounts({r.n: r.grams for r in few})
-        # At most 64^order rows.
-        rows = table.select("code", "n").toArrow()
-        codes, n = (np.asarray(rows.column(c).combine_chunks()).astype(np.int64) for c in ("code", "n"))
-        if order == 1:
-            # Symbols that no text has get their share of what was taken off the others.
-            absent = np.setdiff1d(np.arange(1 << SYMBOL_BITS), codes) if len(codes) else codes
-            codes, n = np.concatenate([codes, absent]), np.concatenate([n, np.zeros(len(absent), np.int64)])
-        order_ = np.argsort(codes)
-        codes, n = codes[order_], n[order_]
-        off = taken[np.minimum(n, 3)]
-        contexts, at = np.unique(codes >> SYMBOL_BITS, return_inverse=True)
-        total = np.bincount(at, n)
-        left = np.bincount(at, off) / total
-        suffix = codes & ((1 << SYMBOL_BITS * (order - 1)) - 1)
-        lower = score(levels, suffix, order - 1) if order > 1 else np.full(len(codes), uniform)
-        p = (n - off) / total[at] + left[at] * np.exp(lower)
-        # The context's share for unknown continuations is kept with the context.
-        if order > 1:
-            below = levels[-1]
-            where, known = below.find(contexts)
-            below.log_backoff[where[known]] = np.log(np.maximum(left[known], 1e-9))
-        keys = hashed(codes)
-        by_key = np.argsort(keys)
-        levels.append(Level(keys[by_key], np.log(p)[by_key], np.zeros(len(keys))))
-    return levels
-
-
-def score(levels: list[Level], codes: np.ndarray, order: int) -> np.ndarray:
-    """Log probability of the last symbol of each n-gram after the others."""
-    if order == 0 or not len(levels[order - 1].keys):
-        return np.full(len(codes), np.log(1.0 / (1 << SYMBOL_BITS)))
-    at, known = levels[order - 1].find(codes)
-    out = levels[order - 1].log_probability[at]
-    unknown = np.flatnonzero(~known)
-    if len(unknown):
-        shorter = codes[unknown] & ((1 << SYMBOL_BITS * (order - 1)) - 1)
-        out[unknown] = score(levels, shorter, order - 1)
-        if order > 1 and len(levels[order - 2].keys):
-            context, found = levels[order - 2].find(codes[unknown] >> SYMBOL_BITS)
-            out[unknown] += np.where(found, levels[order - 2].log_backoff[context], 0.0)
-    return out
-
-
 def _repeated(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of keys that occur more than once in a row: all of them, and all but the first."""
     mixed = batches.mix(keys + rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))

@@ -91,10 +91,15 @@ def _discount(n: Column, taken) -> Column:
     return F.when(n >= 3, d[3]).when(n == 2, d[2]).when(n == 1, d[1]).otherwise(0.0)
 
 
+def _taken(table: DataFrame, discounts) -> list:
+    """The discounts that the counts of a level ask for."""
+    few = table.groupBy("n").agg(F.count("*").alias("grams")).filter("n <= 4").collect()
+    return discounts({r.n: r.grams for r in few})
+
+
 def _level(table: DataFrame, context: list[str], discounts) -> tuple[DataFrame, list]:
     """Total and all that is taken off, per context, and the discounts."""
-    few = table.groupBy("n").agg(F.count("*").alias("grams")).filter("n <= 4").collect()
-    taken = discounts({r.n: r.grams for r in few})
+    taken = _taken(table, discounts)
     sums = table.groupBy(*context).agg(F.sum("n").alias("total"), F.sum(_discount(F.col("n"), taken)).alias("off"))
     return sums, taken
 
@@ -110,8 +115,9 @@ def model(third: DataFrame, discounts) -> DataFrame:
     ``gram``, from ``a``, ``b``, ``c`` and ``n``."""
     second = stored(third.groupBy("b", "c").agg(F.count("*").alias("n")), "bigrams")
     first = second.groupBy("c").agg(F.count("*").alias("n"))
-    ones, taken1 = _level(first, [], discounts)
-    all_ = ones.crossJoin(first.agg(F.count("*").alias("size"))).first()
+    taken1 = _taken(first, discounts)
+    off = F.sum(_discount(F.col("n"), taken1)).alias("off")
+    all_ = first.agg(F.sum("n").alias("total"), off, F.count("*").alias("size")).first()
     total1, off1, size = float(all_.total or 1), float(all_.off or 0), float(all_.size + 1)
     unseen = F.lit(max(off1, 0.5) / total1 / size)
 
