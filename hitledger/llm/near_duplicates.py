@@ -250,8 +250,9 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
     linked with nothing: it is kept, a component of its own. Null ids are passed over when
     the smallest is taken; a document whose component has no other id has a null
     ``component_id`` and is not kept unless its id is. Repeated ids each count as linked by
-    their own text only; rows alike are both kept or both not. Columns of the input named
-    like an added one are replaced.
+    their own text only; rows alike are both kept or both not. Besides, ``chosen`` is true
+    for one row of each component, a kept one if there is, and for all without a set. Columns
+    of the input named like an added one are replaced.
     """
     key = F.xxhash64(documents[text], documents[doc_id])
     other = F.xxhash64(F.lit("b"), documents[doc_id], documents[text])
@@ -264,8 +265,9 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
     nodes = (
         signed.filter("n_shingles > 0")
         .groupBy("node")
-        .agg(F.min("doc").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.min("doc.id").alias("least_id"))
-    )
+        .agg(F.min("doc").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.min("doc.id").alias("least_id"),
+             F.min(F.struct(F.isnull("doc.id").alias("none"), "doc")).alias("head"))
+    )
     nodes = stored(nodes, "nodes")
     buckets = nodes.select("node", "n", F.posexplode("bands").alias("band", "value"))
     bucket = ["band", "value"]
@@ -288,20 +290,25 @@ def near_duplicates(documents: DataFrame, text: str = "text", doc_id: str = "doc
     sets = stored(batches.map_batches(texts, _full_sets, "node binary, shingles array<bigint>"), "sets")
 
     labels = links(members, sets)
-    labelled = nodes.select("node", "least_id").join(labels, "node", "left")
+    labelled = nodes.select("node", "least_id", "head").join(labels, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("label", "node"))
-    least = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    found = labelled.join(least, "label").select("node", "component_id")
+    least = labelled.groupBy("label").agg(F.min("least_id").alias("component_id"), F.min("head").alias("head"))
+    found = labelled.drop("head").join(least, "label").select("node", "component_id", F.col("head.doc.key").alias("head"))
     result = signed.select("doc.key.a", "doc.key.b", "n_shingles", "node").distinct()
     # Names of its own for what is joined to columns of the input.
     result = result.join(found, "node", "left").select(
-        F.col("a").alias("__a"), F.col("b").alias("__b"), "n_shingles", F.col("component_id").alias("__least")
-    )
-    keyed = documents.select(*without(documents, ADDED), key.alias("__a"), other.alias("__b"))
+        F.col("a").alias("__a"), F.col("b").alias("__b"), "n_shingles", F.col("component_id").alias("__least"),
+        ((F.col("head.a") == F.col("a")) & (F.col("head.b") == F.col("b"))).alias("__head"),
+    )
+    keyed = documents.select(*without(documents, (*ADDED, "chosen")), key.alias("__a"), other.alias("__b"))
+    # Rows alike lie together after the join; it is dropped where nobody asks for it.
+    alike = Window.partitionBy("__a", "__b").orderBy("__a")
+    chosen = (F.col("n_shingles") == 0) | (F.col("__head") & (F.row_number().over(alike) == 1))
     component = F.when(F.col("n_shingles") == 0, F.col(doc_id)).otherwise(F.col("__least"))
     return (
         keyed.join(result, ["__a", "__b"], "left")
         .withColumn("component_id", component)
         .withColumn("kept", F.col("component_id").eqNullSafe(F.col(doc_id)))
-        .drop("__a", "__b", "__least")
+        .withColumn("chosen", chosen)
+        .drop("__a", "__b", "__least", "__head")
     )

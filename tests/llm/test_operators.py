@@ -3,6 +3,7 @@
 import hashlib
 import random
 import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -41,6 +42,16 @@ def test_language_of_held_out_documents(spark, docs):
     assert all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_who_is_held_out_and_who_has_no_language(spark, docs):
+    found = result(spark, "op1_language_id")
+    assert {i: r.held_out for i, r in found.items()} == {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 3 == 1 for d in docs}
+    learned = {d.lang for d in docs if not found[d.doc_id].held_out and d.lang}
+    for d in docs:
+        r, letters = found[d.doc_id], any(map(str.isalpha, d.text or ""))
+        assert (r.lang_pred in learned) == letters and (r.lang_pred == "und") == (not letters)
+        assert 0 < r.score <= 1 if letters else r.score == 0
+
+
 def test_a_prediction_reads_the_text_only(spark):
     rows = [("en", "the and that with this")] * 3 + [("fr", "le la les une dans")] * 3 + [("de", "der die das und nicht")]
     model = language.train(spark.createDataFrame(rows, "lang string, text string"))
@@ -119,29 +130,6 @@ def test_quality_base(spark, docs):
         assert not (r.kept and r.base_failed)
 
 
-def test_model_is_a_distribution_and_matches_its_definition(spark):
-    texts = ["abab abc abab", "cab cab", "abcabc ab"]
-    frame = spark.createDataFrame([(t,) for t in texts], "text string")
-    counts = quality.count_grams(frame)
-    model = quality.build(counts)
-    bits = quality.SYMBOL_BITS
-    context = int(next(r.code for r in counts.collect())) >> bits
-    codes = (context << bits) + np.arange(1 << bits)
-    for order in range(1, quality.ORDER + 1):
-        cut = codes & ((1 << bits * order) - 1)
-        assert abs(np.exp(quality.score(model, cut, order)).sum() - 1) < 1e-6
-    # Counts of the highest order, by hand.
-    folded = ["".join(chr(quality.FOLDS[ord(c)]) for c in t) for t in texts]
-    by_hand = {}
-    for t in folded:
-        for i in range(len(t) - 3):
-            code = 0
-            for c in t[i : i + 4]:
-                code = code << bits | ord(c)
-            by_hand[code] = by_hand.get(code, 0) + 1
-    assert {r.code: r.n for r in counts.collect()} == by_hand
-
-
 def test_noise_and_repetition_are_out_of_band(spark, docs):
     dice = random.Random(5)
     noise = "".join(dice.choice("#$%qzxj|~^{}") for _ in range(4000))
@@ -164,7 +152,7 @@ def test_token_counts(spark, docs):
         return n
 
     found = result(spark, "op5_token_counts")
-    for d in docs[:60]:
+    for d in docs:
         words = d.text.encode().lower().split()
         assert (found[d.doc_id].n_words, found[d.doc_id].n_tokens) == (len(words), sum(map(greedy, words)))
 
@@ -235,6 +223,13 @@ def test_shards(spark, docs, count):
     rows = shards.shard(frame, count).collect()
     sizes = [len(d.text.encode()) + 16 for d in docs]
     assert sorted(r.size for r in rows) == sorted(sizes)
+    said = {d.doc_id: d.text.encode() for d in docs}
+    assert all((r.size, r.text_crc32) == (len(said[r.doc_id]) + 16, zlib.crc32(said[r.doc_id])) for r in rows)
+    # Equal texts stay together, but for those at a cut.
+    homes = {}
+    for r in rows:
+        homes.setdefault(said[r.doc_id], set()).add(r.shard)
+    assert sum(len(of) - 1 for of in homes.values()) < count
     by = {}
     for r in rows:
         by.setdefault(r.shard, []).append(r)
