@@ -58,15 +58,15 @@ def lock_waits(oplog: DataFrame, hot_rows: int = HOT_ROWS, chunk: int = CHUNK) -
     return _waits(touched, "first_seq", "blocked", "waits_for", oplog, chunk)
 
 
-def _overlapping(later: DataFrame, earlier: DataFrame) -> DataFrame:
+def _overlapping(later: DataFrame, earlier: DataFrame, keys: list[str] = SLOT) -> DataFrame:
     """Pairs of transactions that touch the same slot while both are open: the later one
     starts within the span of the earlier one. Column names end in _1 (earlier) and _2."""
     columns = ["tx_id", "tx_start", "tx_end", "reads", "writes"]
 
     def side(touched: DataFrame, n: int) -> DataFrame:
-        return touched.select(*SLOT, *(F.col(c).alias(f"{c}_{n}") for c in columns))
+        return touched.select(*keys, *(F.col(c).alias(f"{c}_{n}") for c in columns))
 
-    return stab(side(later, 2), side(earlier, 1), SLOT, "tx_start_2", "tx_start_1", "tx_end_1")
+    return stab(side(later, 2), side(earlier, 1), keys, "tx_start_2", "tx_start_1", "tx_end_1")
 
 
 def write_conflicts(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -93,8 +93,11 @@ def write_skew_pairs(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     it, so transactions that only read it are never paired up.
     """
     touched = with_span(touches(oplog), oplog, hot_rows).filter("tx_committed")
-    writers, readers = touched.filter("writes"), touched.filter("not writes")
-    pairs = _overlapping(touched, writers).union(_overlapping(writers, readers))
+    # Whoever comes later looks for writers before it; only a writer looks for readers, too.
+    sought = F.when(F.col("writes"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+    later = touched.withColumn("writer", F.explode(sought))
+    earlier = touched.withColumn("writer", F.col("writes"))
+    pairs = _overlapping(later, earlier, [*SLOT, "writer"])
     smaller_first = F.col("tx_id_1") < F.col("tx_id_2")
     one_reads = F.col("reads_1") & F.col("writes_2")
     two_reads = F.col("reads_2") & F.col("writes_1")
