@@ -12,6 +12,8 @@ once and passes them to every running value it needs.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,26 +27,33 @@ Chunks = int | Sequence[int]
 Fold = Callable[[Column], Column]
 
 
-def running_count(
-    df: DataFrame, keys: list[str], position: str, flag: Column, out: str, chunk: Chunks = CHUNK
-) -> DataFrame:
-    """Rows with ``flag`` up to and including this one, within ``keys``."""
-    rows = df.withColumn("__in", F.when(flag, 1).otherwise(0).cast("long"))
-    return _running(rows, keys, [position], F.sum("__in"), F.sum, 0, out, chunk)
+@dataclass(frozen=True)
+class Running:
+    """A value that runs along: what a row brings, how a chunk's rows are summed up, how rows
+    and sums are folded, and up to which row (0: this one, -1: the one before)."""
 
+    value: Column
+    fold: Fold
+    until: int = -1
+    summary: Fold | None = None
 
-def total_before(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, chunk: Chunks = CHUNK
-) -> DataFrame:
-    """The sum of ``value`` strictly before this row; null before the first."""
-    return _running(df.withColumn("__in", value), keys, order, F.sum("__in"), F.sum, -1, out, chunk)
 
+def total(value: Column, until: int = -1) -> Running:
+    """The sum; null where there is nothing yet."""
+    return Running(value, F.sum, until)
 
-def largest_before(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, chunk: Chunks = CHUNK
+
+def largest(value: Column, until: int = -1) -> Running:
+    """The largest non-null value."""
+    return Running(value, F.max, until)
+
+
+def running_count(
+    df: DataFrame, keys: list[str], position: str, flag: Column, out: str, chunk: Chunks = CHUNK
 ) -> DataFrame:
-    """The largest non-null ``value`` strictly before this row."""
-    return _running(df.withColumn("__in", value), keys, order, F.max("__in"), F.max, -1, out, chunk)
+    """Rows with ``flag`` up to and including this one, within ``keys``."""
+    ones = F.when(flag, 1).otherwise(0).cast("long")
+    return running(df, keys, [position], {out: total(ones, 0)}, chunk)
 
 
 def last_before(
@@ -54,17 +63,23 @@ def last_before(
 
     ``order[0]`` is the position, further columns break ties.
     """
-    place = F.when(F.col("__in").isNotNull(), F.struct(*order))
-    return _running(
-        df.withColumn("__in", value),
-        keys,
-        order,
-        F.max_by("__in", place),
-        lambda column: F.last(column, ignorenulls=True),
-        -1,
-        out,
-        chunk,
+
+    def last_of(column: Column) -> Column:
+        return F.max_by(column, F.when(column.isNotNull(), F.struct(*order)))
+
+    last = Running(value, lambda column: F.last(column, ignorenulls=True), -1, last_of)
+    return running(df, keys, order, {out: last}, chunk)
+
+
+def running(
+    df: DataFrame, keys: list[str], order: list[str], values: dict[str, Running], chunk: Chunks = CHUNK
+) -> DataFrame:
+    """Rows with all the ``values`` by name, in one pass along the log."""
+    rows = with_chunk(df.withColumns({f"__{name}": v.value for name, v in values.items()}), order[0], df, chunk)
+    sums = rows.groupBy(*keys, "__chunk").agg(
+        *((v.summary or v.fold)(F.col(f"__{name}")).alias(f"__{name}") for name, v in values.items())
     )
+    return run_along(rows, carried_over(sums, keys, values), keys, order, values)
 
 
 def with_chunk(rows: DataFrame, position: str, sized_from: DataFrame, chunk: Chunks) -> DataFrame:
@@ -75,32 +90,29 @@ def with_chunk(rows: DataFrame, position: str, sized_from: DataFrame, chunk: Chu
     return rows.withColumn("__chunk", place_among(F.col(position), borders))
 
 
-def carried_over(sums: DataFrame, keys: list[str], value: str, fold: Fold) -> DataFrame:
-    """From one row per (key, chunk): what the chunks before hold, as the first row of each
-    chunk for which there is something."""
+def carried_over(sums: DataFrame, keys: list[str], values: dict[str, Running]) -> DataFrame:
+    """From one row per (key, chunk), with ``__name`` for each value: what the chunks before
+    hold, as the first row of each chunk for which there is something."""
     earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        sums.select(*keys, "__chunk", fold(F.col(value)).over(earlier).alias("__in"))
-        .filter("__in is not null")
-        .withColumn("__row", F.lit(False))
+    held = sums.select(
+        *keys, "__chunk", *(v.fold(F.col(f"__{name}")).over(earlier).alias(f"__{name}") for name, v in values.items())
     )
+    some = reduce(lambda x, y: x | y, (F.col(f"__{name}").isNotNull() for name in values))
+    return held.filter(some).withColumn("__row", F.lit(False))
 
 
-def run_along(rows: DataFrame, carried: DataFrame, keys: list[str], order: list[str], fold: Fold, until: int, out: str) -> DataFrame:
-    """Rows of ``__in`` and ``__chunk`` with the running value up to ``until`` rows ahead."""
-    line = Window.partitionBy(*keys, "__chunk").orderBy("__row", *order).rowsBetween(Window.unboundedPreceding, until)
+def run_along(
+    rows: DataFrame, carried: DataFrame, keys: list[str], order: list[str], values: dict[str, Running]
+) -> DataFrame:
+    """Rows of ``__chunk`` and ``__name`` for each value, with the running ones."""
+    line = Window.partitionBy(*keys, "__chunk").orderBy("__row", *order)
+    ran = {
+        name: v.fold(F.col(f"__{name}")).over(line.rowsBetween(Window.unboundedPreceding, v.until)) for name, v in values.items()
+    }
     return (
         rows.withColumn("__row", F.lit(True))
         .unionByName(carried, allowMissingColumns=True)
-        .withColumn(out, fold(F.col("__in")).over(line))
+        .withColumns(ran)
         .filter("__row")
-        .drop("__in", "__chunk", "__row")
+        .drop("__chunk", "__row", *(f"__{name}" for name in values))
     )
-
-
-def _running(
-    rows: DataFrame, keys: list[str], order: list[str], summary: Column, fold: Fold, until: int, out: str, chunk: Chunks
-) -> DataFrame:
-    rows = with_chunk(rows, order[0], rows, chunk)
-    sums = rows.groupBy(*keys, "__chunk").agg(summary.alias("__sum"))
-    return run_along(rows, carried_over(sums, keys, "__sum", fold), keys, order, fold, until, out)

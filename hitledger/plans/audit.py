@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitledger.operators.borders import find_borders, mirrored
-from hitledger.operators.ordered import CHUNK, carried_over, largest_before, last_before, run_along, total_before, with_chunk
+from hitledger.operators.ordered import CHUNK, carried_over, largest, last_before, run_along, running, total, with_chunk
 from hitledger.operators.overlap import stab
 from hitledger.operators.skew import HOT_ROWS, attach
 from hitledger.plans.oplog import SLOT, is_put, is_read, is_write, spans, touches, with_span
@@ -42,9 +42,8 @@ def _waits(
     change = F.when(F.col("left") == 0, 1).otherwise(-1).cast("long")
     order = ["seq", "left"]
     borders = find_borders(oplog, "seq", chunk)
-    line = total_before(came.union(went), SLOT, order, change, "present", borders)
     longest = F.when(F.col("left") == 0, F.struct("tx_end", "tx_id"))
-    line = largest_before(line, SLOT, order, longest, "longest", borders)
+    line = running(came.union(went), SLOT, order, {"present": total(change), "longest": largest(longest)}, borders)
     return line.filter("left = 0 and present > 0").select(
         *SLOT, F.col("tx_id").alias(tx), F.col("present").alias("others"), F.col("longest.tx_id").alias(waits_for)
     )
@@ -92,7 +91,7 @@ def write_skew_pairs(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     pair shows all bits of its slots. A slot shows something only if one of the two writes
     it, so transactions that only read it are never paired up.
     """
-    touched = with_span(touches(oplog), oplog, hot_rows).filter("tx_committed")
+    touched = with_span(touches(oplog).filter("reads or writes"), oplog, hot_rows).filter("tx_committed")
     # Whoever comes later looks for writers before it; only a writer looks for readers, too.
     sought = F.when(F.col("writes"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
     later = touched.withColumn("writer", F.explode(sought))
@@ -204,20 +203,23 @@ def phantom_reads(oplog: DataFrame, chunk: int = CHUNK, hot_rows: int = HOT_ROWS
     in_chunks = ops.groupBy(*place, "__chunk").agg(
         F.min(read_at).alias("first"), F.max(read_at).alias("last"), F.count_if(is_put()).alias("puts")
     )
+    # True of all rows, and keeps the branches that use them equal, as in ``spans``.
+    in_chunks = in_chunks.filter((F.col("puts") > 0) | F.col("first").isNotNull() | F.col("last").isNotNull())
     readers = in_chunks.groupBy(*place).agg(
         F.min("first").alias("first"), F.max("last").alias("last"), F.sum("puts").alias("tx_puts")
     )
     # A put knows the reads of its transaction, and counts as its own before them.
     puts = attach(ops.filter(is_put()).drop("op"), readers, place, "tx_puts", ["seq"], hot_rows)
     own = [F.when(F.col("seq") < F.col(end), 1).otherwise(0).alias(f"own_{end}") for end in ("first", "last")]
-    puts = puts.select(*place, "seq", "__chunk", F.lit(1).cast("long").alias("__in"), *own)
+    puts = puts.select(*place, "seq", "__chunk", F.lit(1).cast("long").alias("__all_puts"), *own)
     ends = F.explode(F.array("first", "last")).alias("seq")
     points = readers.filter("first < last").select(*place, ends)
-    points = with_chunk(points, "seq", oplog, borders).withColumn("__in", F.lit(0).cast("long"))
-    sums = in_chunks.groupBy("node", "__chunk").agg(F.sum("puts").alias("puts"))
-    carried = carried_over(sums, ["node"], "puts", F.sum)
-    line = run_along(puts.unionByName(points, allowMissingColumns=True), carried, ["node"], ["seq"], F.sum, 0, "all_puts")
-    counted = F.when(F.col("own_first").isNull(), F.col("all_puts"))
+    points = with_chunk(points, "seq", oplog, borders).withColumn("__all_puts", F.lit(0).cast("long"))
+    sums = in_chunks.groupBy("node", "__chunk").agg(F.sum("puts").alias("__all_puts"))
+    counted = {"all_puts": total(F.col("__all_puts"), 0)}
+    rows = puts.unionByName(points, allowMissingColumns=True)
+    line = run_along(rows, carried_over(sums, ["node"], counted), ["node"], ["seq"], counted)
+    at_read = F.when(F.col("own_first").isNull(), F.col("all_puts"))
 
     def others(of_reads, own: str):
         return of_reads - F.coalesce(F.sum(own), F.lit(0))
@@ -225,8 +227,8 @@ def phantom_reads(oplog: DataFrame, chunk: int = CHUNK, hot_rows: int = HOT_ROWS
     return (
         line.groupBy(*place)
         .agg(
-            others(F.min(counted), "own_first").alias("first_count"),
-            others(F.max(counted), "own_last").alias("last_count"),
+            others(F.min(at_read), "own_first").alias("first_count"),
+            others(F.max(at_read), "own_last").alias("last_count"),
         )
         .filter("first_count <> last_count")
     )
