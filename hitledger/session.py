@@ -47,11 +47,18 @@ def scratch(spark: SparkSession, label: str) -> str:
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session, whose
     executors are this machine, may do without: it gets a folder that goes when the process
-    ends.
+    ends. Folders in the shared one go when the application does.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/hitledger-{uuid.uuid4().hex}/{label}"
+    folder = f"{root.rstrip('/')}/hitledger-{uuid.uuid4().hex}"
+    jvm = getattr(spark.sparkContext, "_jvm", None)
+    if jvm:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{folder}/{label}"

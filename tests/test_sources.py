@@ -1,4 +1,8 @@
 import json
+import os
+import subprocess
+import sys
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -174,3 +178,23 @@ def test_scratch_is_the_shared_folder():
     assert scratch(Session("local[4]"), "t").startswith("/")
     with pytest.raises(ValueError):
         scratch(Session("spark://host:7077"), "t")
+
+
+def test_scratch_folders_go_with_the_application(tmp_path):
+    script = f"""
+import os
+from hitledger.session import local_session, scratch
+spark = local_session(1, 1, **{{"spark.checkpoint.dir": "file://{tmp_path}/shared"}})
+path = scratch(spark, "t")
+spark.range(3).write.parquet(path)
+print("READ", spark.read.parquet(path).count(), sum(n.startswith("hitledger") for n in os.listdir("{tmp_path}/shared")))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=300, check=True)
+    assert "READ 3 1" in done.stdout
+    # The JVM may take a moment longer than the process that started it.
+    for _ in range(100):
+        if not list((tmp_path / "shared").glob("hitledger*")):
+            break
+        time.sleep(0.2)
+    assert not list((tmp_path / "shared").glob("hitledger*"))
