@@ -7,28 +7,27 @@ from pyspark.sql import functions as F
 
 from hitledger.operators.borders import find_borders
 from hitledger.operators.ordered import CHUNK, last_before
-from hitledger.operators.skew import HOT_ROWS, attach
-from hitledger.plans.oplog import SLOT, is_put, is_read, is_write, with_span, written_value
+from hitledger.operators.skew import HOT_ROWS
+from hitledger.plans.oplog import SLOT, is_read, is_write, with_span, written_value
 
 
 def changelog_apply(oplog: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """State after all committed transactions, in commit order: the last write of every
     slot, unless it deletes."""
-    # Numbers only, in buffers of fixed width; what was put is fetched for the last ones.
-    last_write = F.max(F.when(is_write(), F.col("seq"))).alias("seq")
-    touched = oplog.groupBy("tx_id", *SLOT).agg(last_write, F.max("seq").alias("last"), F.bool_and("committed").alias("all"))
-    # True of all rows, and keeps the branches that use them equal, as in ``spans``.
-    touched = touched.filter(F.col("last").isNotNull() | F.col("seq").isNotNull() | F.col("all").isNotNull())
-    ends = touched.groupBy("tx_id").agg(
-        F.max("last").alias("tx_end"), F.bool_and("all").alias("tx_committed"), F.count("*").alias("tx_slots")
+    # The last write of each transaction and slot, before anything is joined to it. (Fetching
+    # the values of the last writes afterwards spares a sort, but moves twice as much.)
+    writes = (
+        oplog.filter(is_write())
+        .groupBy("tx_id", *SLOT)
+        .agg(F.max(F.struct("seq", "op", "value")).alias("write"))
     )
-    ends = ends.filter((F.col("tx_slots") > 0) | F.col("tx_end").isNotNull() | F.col("tx_committed").isNotNull())
-    writes = touched.filter("seq is not null").select("tx_id", *SLOT, "seq")
-    done = attach(writes, ends, ["tx_id"], "tx_slots", SLOT, hot_rows).filter("tx_committed")
+    done = with_span(writes, oplog, hot_rows).filter("tx_committed")
     newest = Window.partitionBy(*SLOT).orderBy(F.desc("tx_end"))
-    last = done.withColumn("place", F.row_number().over(newest)).filter("place = 1").select(*SLOT, "seq")
-    # A last write that is a delete is not among the puts.
-    return last.join(oplog.filter(is_put()).select("seq", "value"), "seq").select(*SLOT, "value")
+    return (
+        done.withColumn("place", F.row_number().over(newest))
+        .filter("place = 1 and write.op = 'put'")
+        .select(*SLOT, "write.value")
+    )
 
 
 def transaction_outcomes(oplog: DataFrame) -> DataFrame:

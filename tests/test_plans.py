@@ -20,7 +20,7 @@ def test_how_often_the_log_is_read(spark, name, most):
     assert 1 <= ran(spark, name).count("FileScan") <= most
 
 
-@pytest.mark.parametrize("name", ["changelog_apply", "upsert_metrics", "phantom_reads"])
+@pytest.mark.parametrize("name", ["upsert_metrics", "phantom_reads", "write_skew_pairs"])
 def test_no_aggregate_needs_a_sort(spark, name):
     assert "SortAggregate" not in ran(spark, name)
 
