@@ -4,36 +4,36 @@ A text is a vector of hashed byte trigrams (letters folded, everything else one
 square roots of counts at unit length. One-versus-one linear support vector machines vote
 on the language family; those between the languages of the winning family then decide.
 
-The machines are fitted on a bounded sample: at most ``SAMPLE_ROWS`` different texts in all,
-spread evenly over the languages and chosen by the hash of the text, each used whole. A
+The machines are fitted on all different texts that have a language, each used whole: their
+trigram counts are stored once, and every step of the descent is a pass over them that adds up
+the losses and slopes of all machines. Centres and floors come from all of them as well. A
 prediction is one matrix product per slice of texts.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.batches import importable, let_go, slices
-from hitledger.llm.frames import without
+from hitledger.llm.batches import importable, let_go, map_batches, slices
+from hitledger.llm.frames import released, stored, without
 
-# Bound on the texts the machines are fitted on, over all languages, and on those of one.
-SAMPLE_ROWS = 4000
-LANGUAGE_ROWS = 300
 # Entries of a text's vector.
 BUCKETS = 4096
 # Texts turned into vectors at a time.
 ROWS = 256
-# Strength of the penalty, and steps of the fit.
+# Strength of the penalty, most passes of the fit, the part of its first slope at which a
+# machine is done, and the moves it remembers.
 PENALTY = 1e-3
-STEPS = 150
+PASSES = 30
+DONE = 5e-3
+MOVES = 10
 # Margin to confidence: the slope of the logistic function.
 SLOPE = 4.0
 # A text must be so much of what a tenth of the labelled texts are below in likeness.
@@ -75,22 +75,53 @@ def _folds() -> np.ndarray:
 FOLDS = _folds()
 
 
-def vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A row of trigram weights per text; texts of under three bytes have none."""
+def gram_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A row of trigram counts per text; texts of under three bytes have none."""
     n = len(offsets) - 1
     folded = FOLDS[data]
     if len(folded) < 3:
-        return np.zeros((n, BUCKETS), np.float32)
+        return np.zeros((n, BUCKETS), np.int64)
     grams = (folded[:-2] << np.uint32(16)) | (folded[1:-1] << np.uint32(8)) | folded[2:]
     shift = np.uint32(32 - BUCKETS.bit_length() + 1)
     bucket = ((grams * np.uint32(2654435761)) >> shift).astype(np.int64)
     row = np.repeat(np.arange(n), np.diff(offsets))
     inside = row[:-2] == row[2:]
     bucket = (row[:-2] * BUCKETS + bucket)[inside]
-    counts = np.sqrt(np.bincount(bucket, minlength=n * BUCKETS).reshape(n, BUCKETS)).astype(np.float32)
+    return np.bincount(bucket, minlength=n * BUCKETS).reshape(n, BUCKETS)
+
+
+def vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A row of trigram weights per text."""
+    counts = np.sqrt(gram_counts(data, offsets)).astype(np.float32)
     return counts / np.maximum(np.linalg.norm(counts, axis=1, keepdims=True), 1e-9)
 
 
+def packed(counts: np.ndarray) -> list[bytes]:
+    """Each row of counts in few bytes: a bit for every entry, whether it is there; then the
+    low bytes of those that are, the bytes above them, and so on up to the largest."""
+    there = counts > 0
+    out = []
+    for row, mask, bits in zip(counts, there, np.packbits(there, axis=1), strict=True):
+        found = row[mask].astype("<u4")
+        wide = (int(found.max(initial=0)).bit_length() + 7) // 8
+        out.append(bits.tobytes() + found.view(np.uint8).reshape(-1, 4)[:, :wide].T.tobytes())
+    return out
+
+
+def unpacked(column: pa.Array) -> np.ndarray:
+    """The vectors of packed counts, and a last column of ones."""
+    x = np.zeros((len(column), BUCKETS + 1), np.float32)
+    x[:, -1] = 1
+    for out, piece in zip(x, column, strict=True):
+        raw = np.frombuffer(piece.as_buffer(), np.uint8)
+        mask = np.unpackbits(raw[: BUCKETS // 8]).view(bool)
+        if n := np.count_nonzero(mask):
+            levels = raw[BUCKETS // 8 :].reshape(-1, n)
+            found = sum(level.astype(np.float64) * 256**k for k, level in enumerate(levels))
+            out[:-1][mask] = np.sqrt(found / found.sum())
+    return x
+
+
 @dataclass
 class Model:
     """Machines as rows of ``weights``: pair (a, b) is positive for a. ``names`` lists the
@@ -146,130 +177,213 @@ def size_class(sizes: np.ndarray) -> np.ndarray:
     return np.clip(np.log2(np.maximum(sizes, 1) / 16).astype(int), 0, 7)
 
 
-def _calibrates(vector: np.ndarray) -> bool:
+def _labelled(documents: DataFrame, text: str, lang: str) -> DataFrame:
+    """``lang``, ``text`` and its hash ``h`` of the rows to learn from."""
+    rows = documents.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
+    return rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
+
+
+def _pack(batch):
+    for first, last, data, offsets in slices(batch.column("text"), ROWS):
+        kept = (batch.column(name).slice(first, last - first) for name in ("lang", "h"))
+        yield pa.record_batch([*kept, pa.array(packed(gram_counts(data, offsets)), pa.binary())], ["lang", "h", "packed"])
+
+
+def texts_of(documents: DataFrame, text: str, lang: str) -> DataFrame:
+    """``lang``, ``h`` and the packed counts of all different texts, stored. A copy counts once;
+    what is shuffled for that is the counts, not the texts."""
+    rows = map_batches(_labelled(documents, text, lang), _pack, "lang string, h bigint, packed binary")
+    return stored(rows.dropDuplicates(["lang", "h"]), "language_vectors")
+
+
+def _summed(texts: DataFrame, each: Callable[[np.ndarray, pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """Of the matrices that ``each`` makes of a slice's vectors and rows the sum over all
+    slices: within tasks, then by the number of the matrix's row."""
+
+    def partial(batches):
+        let_go()
+        total = None
+        for batch in batches:
+            for first in range(0, batch.num_rows, ROWS):
+                part = batch.slice(first, ROWS)
+                found = each(unpacked(part.column("packed")), part)
+                total = found if total is None else total + found
+        if total is not None:
+            sums = pa.array([row.tobytes() for row in total.astype(np.float64)], pa.binary())
+            yield pa.record_batch([pa.array(range(len(total)), pa.int32()), sums], ["k", "sums"])
+
+    def add(table):
+        total = sum(np.frombuffer(piece.as_buffer()) for piece in table.column("sums"))
+        return pa.table({"k": table.column("k").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    importable(texts)
+    schema = "k int, sums binary"
+    rows = texts.mapInArrow(partial, schema).groupBy("k").applyInArrow(add, schema).collect()
+    return np.stack([np.frombuffer(r.sums) for r in sorted(rows, key=lambda r: r.k)])
+
+
+def _calibrates(h: Column) -> Column:
     """A third of the texts, those that the centres are not made of."""
-    return zlib.crc32(vector.tobytes()) % 3 == 1
+    return F.pmod(h, F.lit(3)) == 1
+
+
+def _centres(texts: DataFrame, names: list[str]) -> dict[str, np.ndarray]:
+    place = {name: k for k, name in enumerate(names)}
+
+    def each(x, part):
+        mine = np.array([place[name] for name in part.column("lang").to_pylist()])
+        held = part.column("held").to_numpy(zero_copy_only=False)
+        out = np.zeros((2 * len(place), x.shape[1]))
+        for k in np.unique(2 * mine + held):
+            out[k] = x[2 * mine + held == k].sum(axis=0)
+        return out
+
+    sums = _summed(texts.withColumn("held", _calibrates(F.col("h"))), each)
+    out = {}
+    for name, k in place.items():
+        # The last column counts; a language that has no other texts is that of the third.
+        centre = sums[2 * k if sums[2 * k, -1] else 2 * k + 1]
+        centre = (centre[:-1] / centre[-1]).astype(np.float32)
+        out[name] = centre / max(float(np.linalg.norm(centre)), 1e-9)
+    return out
 
 
 def calibrate(documents: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> Model:
     """Sets the floors of a model trained on the same documents: of the likeness that the
     calibration third, cut to each size, has to its language, a part of the lower decile.
     Texts of under 32 bytes are too short to be judged."""
-    chosen = sample(documents, text, lang)
-    centres = model.centres
-
-    def likeness(found):
-        for batch in found:
-            names = batch.column("lang").to_pylist()
-            for first, last, data, offsets in slices(batch.column("text"), ROWS):
-                for r, v in enumerate(vectors(data, offsets)):
-                    if not _calibrates(v):
-                        continue
-                    own = data[offsets[r] : offsets[r + 1]]
-                    for c in range(1, 8):
-                        n = 16 << c
-                        if n <= len(own):
-                            like = float(vectors(own[:n], np.array([0, n]))[0] @ centres[names[first + r]])
-                            yield pa.record_batch([[names[first + r]], pa.array([c]), pa.array([like])], ["lang", "c", "v"])
-
-    importable(chosen)
-    # At most seven numbers for each text of the sample.
-    rows = chosen.mapInArrow(likeness, "lang string, c bigint, v double").collect()
-    for name in centres:
-        model.floors[name] = np.zeros(8)
-        for c in range(1, 8):
-            values = [r.v for r in rows if r.lang == name and r.c == c]
-            if values:
-                model.floors[name][c] = FLOOR * np.quantile(values, 0.1)
+    if not model.centres:
+        return model
+    shared = documents.sparkSession.sparkContext.broadcast(model.centres)
+
+    def likeness(batch):
+        centres = shared.value
+        for first, last, data, offsets in slices(batch.column("text"), ROWS):
+            names = np.array(batch.column("lang").slice(first, last - first).to_pylist(), object)
+            hashes, sizes = batch.column("h").slice(first, last - first), np.diff(offsets)
+            for c in range(1, 8):
+                n = 16 << c
+                long = np.flatnonzero(sizes >= n)
+                if len(long):
+                    cut = data[(offsets[long][:, None] + np.arange(n)).ravel()]
+                    x = vectors(cut, np.arange(len(long) + 1) * n)
+                    like = [float(v @ centres[name]) for v, name in zip(x, names[long], strict=True)]
+                    yield pa.record_batch(
+                        [pa.array(names[long], pa.string()), hashes.take(pa.array(long)), pa.array([c] * len(long)), pa.array(like)],
+                        ["lang", "h", "c", "v"],
+                    )
+
+    rows = _labelled(documents, text, lang).filter(_calibrates(F.col("h")))
+    found = map_batches(rows, likeness, "lang string, h bigint, c bigint, v double").dropDuplicates(["lang", "h", "c"])
+    # To four digits, so that the different values are few, however many texts there are.
+    deciles = found.groupBy("lang", "c").agg(F.percentile(F.round("v", 4), 0.1).alias("v")).collect()
+    model.floors = {name: np.zeros(8) for name in model.centres}
+    for r in deciles:
+        model.floors[r.lang][r.c] = FLOOR * r.v
     return model
 
 
-def fit_machine(x: np.ndarray, positive: np.ndarray) -> np.ndarray:
-    """Weights and offset of a linear machine: squared hinge loss with a ridge penalty, both
-    classes of equal weight, by accelerated gradient steps of fixed length."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    y = np.where(positive, 1.0, -1.0).astype(np.float32)
-    share = np.where(positive, 0.5 / max(1, positive.sum()), 0.5 / max(1, (~positive).sum()))
-    share = share.astype(np.float32)
-    w = ahead = np.zeros(x.shape[1], np.float32)
-    step = np.float32(1 / (PENALTY + 2 * 2.0))
-    for k in range(STEPS):
-        short = np.maximum(0, 1 - y * (x @ ahead))
-        new = ahead - step * (PENALTY * ahead - 2 * x.T @ (share * y * short))
-        ahead, w = new + np.float32(k / (k + 3)) * (new - w), new
-    return w.astype(np.float32)
-
-
-def fit(x: np.ndarray, labels: list[str]) -> Model:
-    labels = np.array(labels, object)
-    families = np.array([family_of(label) for label in labels], object)
-    model = Model(sorted(set(families)))
-    rows = []
-
-    def duels(names, of):
-        for i, a in enumerate(names):
-            for b in names[i + 1 :]:
-                among = (of == a) | (of == b)
-                model.pairs[a, b] = len(rows)
-                rows.append(fit_machine(x[among], of[among] == a))
-
+class Descent:
+    """The way of one machine to its least loss, by limited-memory BFGS: ``at`` is where the
+    loss and its slope are asked for next, ``best`` the least found."""
+
+    def __init__(self):
+        self.at = self.best = np.zeros(BUCKETS + 1)
+        self.loss, self.slope, self.first = np.inf, None, 0.0
+        self.move, self.moves, self.done = None, [], False
+
+    def told(self, loss: float, slope: np.ndarray) -> None:
+        if self.slope is not None:
+            if loss > self.loss + 1e-4 * (self.slope @ self.move):
+                # Too far.
+                self.move = self.move / 2
+                self.at = self.best + self.move
+                return
+            self.moves = [*self.moves, (self.at - self.best, slope - self.slope)][-MOVES:]
+        self.best, self.loss, self.slope = self.at, loss, slope
+        size = float(np.linalg.norm(slope))
+        self.first = self.first or size
+        self.done = size <= DONE * self.first
+        self.move = -self._bent(slope)
+        self.at = self.best + self.move
+
+    def _bent(self, slope: np.ndarray) -> np.ndarray:
+        """The slope times what the moves tell of the inverse of the curvature."""
+        if not self.moves:
+            return slope / (PENALTY + 4)
+        out, parts = slope, []
+        for move, turn in reversed(self.moves):
+            part = (move @ out) / (move @ turn)
+            parts.append(part)
+            out = out - part * turn
+        move, turn = self.moves[-1]
+        out = out * ((move @ turn) / (turn @ turn))
+        for (move, turn), part in zip(self.moves, reversed(parts), strict=True):
+            out = out + (part - (turn @ out) / (move @ turn)) * move
+        return out
+
+
+def fit(texts: DataFrame, sizes: dict[str, int]) -> Model:
+    """Linear machines between families and between the languages of one: squared hinge loss
+    with a ridge penalty, both classes of equal weight, over all texts. ``sizes`` has the number
+    of texts of each language."""
+    names = sorted(sizes)
+    families = np.array([family_of(name) for name in names], object)
     # Family names are told apart from languages of the same name.
-    model.families = [f"{name} family" for name in model.families]
+    model = Model([f"{name} family" for name in sorted(set(families))])
+    sides = []
+
+    def duels(members, of):
+        for i, a in enumerate(members):
+            for b in members[i + 1 :]:
+                model.pairs[a, b] = len(sides)
+                sides.append((of == a) * 1.0 - (of == b))
+
     duels(model.families, np.array([f"{name} family" for name in families], object))
     for name in model.families:
-        members = sorted(set(labels[families == name.removesuffix(" family")]))
-        model.languages[name] = members
-        duels(members, labels)
-    if rows:
-        model.weights = np.array(rows, np.float32)
+        model.languages[name] = [n for n, f in zip(names, families, strict=True) if f"{f} family" == name]
+        duels(model.languages[name], np.array(names, object))
+    if not sides:
+        return model
+    # A row per language, a column per machine: the side it is on, and the weight of a text.
+    side = np.array(sides).T
+    many = np.array([sizes[name] for name in names], float)
+    share = np.where(side > 0, 0.5 / (many @ (side > 0)), 0.5 / (many @ (side < 0)))
+    place = {name: k for k, name in enumerate(names)}
+    ways = [Descent() for _ in sides]
+    for _ in range(PASSES):
+        going = [k for k, way in enumerate(ways) if not way.done]
+        if not going:
+            break
+        asked = np.array([ways[k].at for k in going])
+        shared = texts.sparkSession.sparkContext.broadcast((asked.astype(np.float32), side[:, going], share[:, going]))
+
+        def each(x, part, shared=shared):
+            weights, side, share = shared.value
+            mine = [place[name] for name in part.column("lang").to_pylist()]
+            y, s = side[mine], share[mine]
+            short = np.where(y == 0, 0, np.maximum(0, 1 - y * (x @ weights.T)))
+            slopes = -2 * (s * y * short).T.astype(np.float32) @ x
+            return np.hstack([slopes, (s * short**2).sum(axis=0)[:, None]])
+
+        sums = _summed(texts, each)
+        shared.destroy()
+        for k, w, found in zip(going, asked, sums, strict=True):
+            ways[k].told(found[-1] + PENALTY / 2 * (w @ w), found[:-1] + PENALTY * w)
+    model.weights = np.array([way.best for way in ways], np.float32)
     return model
 
 
-def sample(documents: DataFrame, text: str, lang: str) -> DataFrame:
-    """At most LANGUAGE_ROWS different texts of a language and SAMPLE_ROWS in all, those of
-    the smallest hashes; every row that it is given can be among them."""
-    rows = documents.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
-    # A copy counts once. Hashes are uniform, so a bound on them keeps about twice the rows
-    # needed, before any text is sorted.
-    per_lang = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
-    if not per_lang:
-        return rows.select("lang", "text").limit(0)
-    most = max(1, min(LANGUAGE_ROWS, SAMPLE_ROWS // len(per_lang)))
-    edge = F.lit(None)
-    for found in per_lang:
-        part = min(1.0, 2 * most / found.n + 20 / found.n)
-        edge = F.when(F.col("lang") == found.lang, F.lit(min(2**63 - 1, int((2 * part - 1) * 2**63)))).otherwise(edge)
-    near = rows.filter(F.col("h") <= edge).dropDuplicates(["lang", "h"])
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    return near.withColumn("place", place).filter(F.col("place") <= most).select("lang", "text")
-
-
 def train(documents: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Fits on the rows given; rows without text or language are passed over."""
-    chosen = sample(documents, text, lang)
-
-    def to_vectors(batches):
-        for batch in batches:
-            for first, last, data, offsets in slices(batch.column("text"), ROWS):
-                x = vectors(data, offsets)
-                yield pa.record_batch(
-                    [batch.column("lang").slice(first, last - first), pa.array([v.tobytes() for v in x], pa.binary())],
-                    ["lang", "vector"],
-                )
-
-    importable(chosen)
-    rows = chosen.mapInArrow(to_vectors, "lang string, vector binary").collect()
-    rows = sorted(rows, key=lambda r: (r.lang, bytes(r.vector)))
-    if not rows:
-        return Model()
-    x = np.frombuffer(b"".join(bytes(r.vector) for r in rows), np.float32).reshape(len(rows), BUCKETS)
-    model = fit(x, [r.lang for r in rows])
-    names, learned = np.array([r.lang for r in rows], object), np.array([not _calibrates(v) for v in x])
-    for name in set(names):
-        mine = (names == name) & learned
-        centre = x[mine if mine.any() else names == name].mean(axis=0)
-        model.centres[name] = centre / max(float(np.linalg.norm(centre)), 1e-9)
+    """Fits on the rows given, all of them; rows without text or language are passed over, and
+    of copies with one language one counts."""
+    with released(documents.sparkSession):
+        texts = texts_of(documents, text, lang)
+        sizes = {r.lang: r.n for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        if not sizes:
+            return Model()
+        model = fit(texts, sizes)
+        model.centres = _centres(texts, sorted(sizes))
     return model
 
 
