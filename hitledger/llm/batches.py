@@ -6,6 +6,7 @@ megabyte each, so that memory follows the slice and the longest text, not the ba
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -46,8 +47,10 @@ def held(key, make: Callable[[], object]):
 
 def let_go() -> None:
     """Called by operators that keep nothing, so that another one's tables don't stay in a
-    worker while they run."""
-    _held[:] = None, None
+    worker while they run. Tables that refer to themselves go only when cycles are collected."""
+    if _held[0] is not None:
+        _held[:] = None, None
+        gc.collect()
 
 
 def map_batches(
