@@ -6,15 +6,16 @@ And whatever follows, the encoding up to the start of a token is that of the byt
 it. So a machine can read bytes from left to right, guess where the last cut was, and drop
 guesses that fail:
 
-* A guess is a node of the vocabulary's trie (the bytes since the cut), the token before the
-  cut, and the tokens up to there that are not written yet.
+* A guess is a node of the vocabulary's trie (the bytes since the cut) and the token before
+  the cut.
 * On a byte each guess moves down the trie or ends. Exactly one of the guesses stands on a
   token that is stable after the one before; a new guess, cut here, starts from it.
-* What all guesses agree on is written. A guess lives no longer than the longest token, so
-  a token is written after a bounded number of further bytes.
+* That token is what the machine writes for the byte: the last one, should the piece end
+  here. Read from the end of the piece, each written token says where the one before it ends.
 
-The set of guesses is the state. States and moves are made when a text first needs them and
-kept, so the usual step is one lookup per byte. Decoding concatenates the tokens' bytes;
+The set of guesses is the state; one that no token goes on from is left out. States and moves
+are made when a text first needs them and kept, so the usual step is one lookup per byte.
+Decoding concatenates the tokens' bytes;
 ``decode_stream`` gives text while tokens arrive, by an incremental UTF-8 decoder that holds
 back the bytes of an unfinished character.
 """
@@ -24,6 +25,8 @@ from __future__ import annotations
 import base64
 import codecs
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
+from operator import getitem
 
 import numpy as np
 import public_tokenizers
@@ -47,8 +50,11 @@ AT_ONCE = 1 << 20
 
 ADDED = ("ids", "n_tokens", "decoded")
 
-# Before a piece's first byte: at the trie's root, after no token, nothing to write.
-START = ((0, -1, ()),)
+# A guess is one number: the trie's node, and below it the token before the cut, plus one.
+NODE = 33
+BEFORE = (1 << NODE) - 1
+# A rank above all others: no merge is left.
+NEVER = 1 << 62
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -59,19 +65,26 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     """The definition: merge the pair of lowest rank, the leftmost of equals, until none is
-    left. Quadratic; used on two tokens at a time."""
+    left. Quadratic; used on one token at a time."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    never, rank = 1 << 62, ranks.get
-    pairs = [rank(piece[i : i + 2], never) for i in range(len(piece) - 1)]
-    while pairs and (lowest := min(pairs)) < never:
+    for _ in merges(parts, ranks):
+        pass
+    return parts
+
+
+def merges(parts: list[bytes], ranks: dict[bytes, int]) -> Iterator[int]:
+    """Merges parts in place, and tells the rank of each merge once it is done."""
+    rank = ranks.get
+    pairs = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+    while pairs and (lowest := min(pairs)) < NEVER:
         i = pairs.index(lowest)
         parts[i] += parts.pop(i + 1)
         pairs.pop(i)
         if i:
-            pairs[i - 1] = rank(parts[i - 1] + parts[i], never)
+            pairs[i - 1] = rank(parts[i - 1] + parts[i], NEVER)
         if i < len(pairs):
-            pairs[i] = rank(parts[i] + parts[i + 1], never)
-    return parts
+            pairs[i] = rank(parts[i] + parts[i + 1], NEVER)
+        yield lowest
 
 
 class Pieces(dict):
@@ -90,6 +103,21 @@ class Pieces(dict):
         return ids
 
 
+class State(dict):
+    """The states that bytes lead to, as far as known. Its guesses are numbers, see NODE;
+    ``token`` is the one that ends here."""
+
+    __slots__ = ("machine", "guesses", "token")
+
+    def __init__(self, machine: Transducer, guesses: tuple, token: int):
+        self.machine = machine
+        self.guesses = guesses
+        self.token = token
+
+    def __missing__(self, byte: int) -> State:
+        return self.machine.move(self, byte)
+
+
 class Transducer:
     """Encoder and decoder for one vocabulary; ids travel as little-endian 32-bit numbers."""
 
@@ -104,99 +132,127 @@ class Transducer:
             for byte in token:
                 node = self.trie.setdefault(node << 8 | byte, len(self.trie) + 1)
             self.token_at[node] = rank
+        # Nodes that longer tokens go on from.
+        self.inner = {key >> 8 for key in self.trie}
         self.packed = {rank: rank.to_bytes(4, "little") for rank in ranks.values()}
+        self.length = {rank: len(token) for token, rank in ranks.items()}
+        self.edges: dict[int, tuple | None] = {}
         self.pieces = Pieces(self)
         self.reset()
 
     def reset(self) -> None:
-        """Forget all states. A state is a number: of its guesses and, with a byte, of the
-        move it makes."""
-        self.stable: dict[tuple[int, int], bool] = {}
-        self.numbers: dict[tuple, int] = {}
-        self.guesses: list[tuple] = []
-        self.moves: dict[int, tuple[int, bytes]] = {}
+        """Forget all states."""
+        self.stable: dict[int, bool] = {}
+        self.states: dict[tuple, State] = {}
         self.unkept = 0
-        self._number(START)
+        # Before a piece's first byte: at the trie's root, after no token.
+        self.start = self._state((0,), -1)
 
-    def _number(self, guesses: tuple) -> int:
-        state = self.numbers.get(guesses)
+    def _state(self, guesses: tuple, token: int) -> State:
+        state = self.states.get(guesses)
         if state is None:
-            state = self.numbers[guesses] = len(self.guesses)
-            self.guesses.append(guesses)
+            state = State(self, guesses, token)
+            if len(self.states) < MAX_STATES:
+                self.states[guesses] = state
         return state
 
+    def _edges(self, token: int) -> tuple[tuple, tuple] | None:
+        """How the first and the last part of a token grow while its bytes are merged: each
+        such part with the highest rank that is merged before it grows. None for a token that
+        does not come out of its own bytes."""
+        if token not in self.edges:
+            piece = self.bytes[token]
+            parts = [piece[i : i + 1] for i in range(len(piece))]
+            first, last = [[parts[0], -1]], [[parts[-1], -1]]
+            for rank in merges(parts, self.ranks):
+                for edge, part in ((first, parts[0]), (last, parts[-1])):
+                    edge[-1][1] = max(edge[-1][1], rank)
+                    if len(part) > len(edge[-1][0]):
+                        edge.append([part, -1])
+            first[-1][1] = last[-1][1] = NEVER
+            whole = len(parts) == 1
+            self.edges[token] = (tuple(map(tuple, first)), tuple(map(tuple, last))) if whole else None
+        return self.edges[token]
+
     def _stable(self, before: int, token: int) -> bool:
-        """Whether the token stays as it is after the one before it (-1: at the start)."""
-        known = self.stable.get((before, token))
-        if known is None:
-            parts = [self.bytes[t] for t in (before, token) if t >= 0]
-            known = merge(b"".join(parts), self.ranks) == parts
-            if len(self.stable) < MAX_STATES:
-                self.stable[before, token] = known
-        return known
-
-    def step(self, guesses: tuple, byte: int) -> tuple[tuple, bytes]:
-        """The guesses after one more byte, and what they agree on."""
-        after, cut, pending = [], None, True
-        trie, token_at = self.trie, self.token_at
-        for node, before, written in guesses:
-            node = trie.get(node << 8 | byte)
+        """Whether the token stays as it is after the one before it (-1: at the start).
+
+        Both are merged side by side, lowest rank first, the left one first of equals, until
+        the last part of one and the first part of the other are merged earlier than either
+        grows."""
+        own = self._edges(token)
+        if own is None or before < 0:
+            return own is not None
+        firsts, lasts = own[0], self._edges(before)[1]
+        i = j = 0
+        while True:
+            last, left = lasts[i]
+            first, right = firsts[j]
+            across = self.ranks.get(last + first, NEVER)
+            if left <= right:
+                if across < left:
+                    return False
+                if left == NEVER:
+                    return True
+                i += 1
+            else:
+                if across <= right:
+                    return False
+                j += 1
+
+    def step(self, guesses: tuple, byte: int) -> tuple[tuple, int]:
+        """The guesses after one more byte, and the token that ends there."""
+        after, cut = [], None
+        trie, inner, token_at, stable = self.trie, self.inner, self.token_at, self.stable
+        for guess in guesses:
+            node = trie.get(guess >> NODE << 8 | byte)
             if node is None:
                 continue
-            after.append((node, before, written))
-            pending = pending and bool(written)
+            before = guess & BEFORE
+            if node in inner:
+                after.append(node << NODE | before)
             if cut is None:
                 token = token_at.get(node)
-                if token is not None and self._stable(-1, token) and self._stable(before, token):
-                    cut = (0, token, (*written, token))
-        after.append(cut)
-        if not pending:
-            # One of them has not written anything that is not out yet.
-            return tuple(after), b""
-        agreed = 0
-        tokens = cut[2]
-        shortest = min(len(written) for _, _, written in after)
-        while agreed < shortest and all(written[agreed] == tokens[agreed] for _, _, written in after):
-            agreed += 1
-        if not agreed:
-            return tuple(after), b""
-        out = b"".join(map(self.packed.__getitem__, tokens[:agreed]))
-        return tuple((node, before, written[agreed:]) for node, before, written in after), out
-
-    def rest(self, guesses: tuple) -> bytes:
-        """What is left to write where a piece ends: the last guess is cut there."""
-        return b"".join(map(self.packed.__getitem__, guesses[-1][2]))
+                if token is not None:
+                    known = stable.get(before << NODE | token)
+                    if known is None:
+                        known = self._stable(before - 1, token)
+                        if len(stable) < MAX_STATES:
+                            stable[before << NODE | token] = known
+                    if known:
+                        cut = token
+        if cut is None:
+            raise ValueError(f"the vocabulary has no token for byte {byte}")
+        after.append(cut + 1)
+        return tuple(after), cut
+
+    def move(self, state: State, byte: int) -> State:
+        """The state that a byte leads to, when it is not known. It is kept while there is
+        room, else made and let go."""
+        after = self._state(*self.step(state.guesses, byte))
+        if len(self.states) < MAX_STATES:
+            state[byte] = after
+        else:
+            self.unkept += 1
+        return after
 
     def encode_piece(self, piece: bytes) -> bytes:
         whole = self.ranks.get(piece)
         if whole is not None:
             return self.packed[whole]
-        state, out, moves = 0, [], self.moves
-        for place, byte in enumerate(piece):
-            move = moves.get(state << 8 | byte)
-            if move is None:
-                if len(self.guesses) >= MAX_STATES:
-                    return b"".join(out) + self._encode_unkept(state, piece[place:])
-                guesses, written = self.step(self.guesses[state], byte)
-                move = moves[state << 8 | byte] = self._number(guesses), written
-            state, written = move
-            if written:
-                out.append(written)
-        out.append(self.rest(self.guesses[state]))
-        return b"".join(out)
-
-    def _encode_unkept(self, state: int, piece: bytes) -> bytes:
-        """The rest of a piece when there is no room for its states: they are made and let
-        go. If that happens too often, the texts have changed and all states are."""
-        guesses, out = self.guesses[state], []
-        for byte in piece:
-            guesses, written = self.step(guesses, byte)
-            out.append(written)
-        out.append(self.rest(guesses))
-        self.unkept += len(piece)
         if self.unkept > MAX_UNKEPT:
+            # Too often there was no room: the texts have changed, so all states are.
             self.reset()
-        return b"".join(out)
+        # Only the tokens are listed, as states that are not kept would add up in a long piece.
+        ends = [state.token for state in accumulate(piece, getitem, initial=self.start)]
+        # Each token says where the one before it ends.
+        place, out, length = len(piece), [], self.length
+        while place:
+            token = ends[place]
+            out.append(token)
+            place -= length[token]
+        out.reverse()
+        return b"".join(map(self.packed.__getitem__, out))
 
     def encode(self, text: str) -> bytes:
         get = self.pieces.__getitem__

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -217,6 +218,56 @@ def test_bpe_on_random_tokens_and_with_no_room(encoding, monkeypatch):
             assert "".join(machine.decode_stream(chunks)) == text
 
 
+def test_bpe_asks_few_ranks_for_pieces_not_seen_before(encoding):
+    """Whether two tokens are stable follows from how each grows, not from merging both."""
+    asked = [0]
+
+    class Ranks(dict):
+        def get(self, *key):
+            asked[0] += 1
+            return super().get(*key)
+
+    dice = random.Random(5)
+    ranks = Ranks(bpe.read_ranks(bpe.VOCABULARY))
+    syllables = [t.decode() for t in list(ranks)[300:1500] if t.isalpha() and t.isascii()]
+    text = " ".join("".join(dice.choices(syllables, k=4)) for _ in range(10000))
+    machine = bpe.Transducer(ranks)
+    assert np.frombuffer(machine.encode(text), "<u4").tolist() == encoding.encode_ordinary(text)
+    assert asked[0] < 4 * len(text)
+
+
+def test_bpe_holds_no_states_of_a_long_piece_without_room(monkeypatch):
+    monkeypatch.setattr(bpe, "MAX_STATES", 50)
+    dice = random.Random(7)
+    machine = bpe.Transducer(bpe.read_ranks(bpe.VOCABULARY))
+    piece = bytes(dice.choices(b"abcdefghij", k=50000))
+    machine.encode_piece(piece)
+    tracemalloc.start()
+    ids = machine.encode_piece(piece)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 90 * len(piece)
+    assert machine.decode(ids) == piece
+
+
+def test_bpe_pairs_are_stable_if_merging_both_gives_them_back():
+    dice = random.Random(6)
+    vocabularies = [bpe.read_ranks(bpe.VOCABULARY)]
+    # Ranks in any order, tokens that don't come out of their own bytes, and equal letters.
+    for _ in range(20):
+        words = list({bytes(dice.choices(b"ab", k=dice.randrange(2, 7))) for _ in range(15)})
+        dice.shuffle(words)
+        vocabularies.append({word: i for i, word in enumerate([b"a", b"b", *words])})
+    for ranks in vocabularies:
+        machine = bpe.Transducer(ranks)
+        tokens = dice.sample(list(ranks), min(len(ranks), 60))
+        own = {t for t in tokens if bpe.merge(t, ranks) == [t]}
+        assert {t for t in tokens if machine._stable(-1, ranks[t])} == own
+        for a in own:
+            for b in tokens:
+                assert machine._stable(ranks[a], ranks[b]) == (bpe.merge(a + b, ranks) == [a, b])
+
+
 @pytest.mark.parametrize("count", [1, 3, 40])
 def test_shards(spark, docs, count):
     frame = spark.read.parquet(f"{SF}/documents.parquet")
