@@ -51,6 +51,12 @@ def let_go() -> None:
     if _held[0] is not None:
         _held[:] = None, None
         gc.collect()
+        trim()
+
+
+def trim() -> None:
+    """Gives back what Arrow keeps of batches that are gone."""
+    pa.default_memory_pool().release_unused()
 
 
 def map_batches(

@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitledger.llm.batches import held, importable
+from hitledger.llm.batches import held, importable, slices, trim
 from hitledger.llm.frames import without
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -273,6 +273,19 @@ class Transducer:
         yield decoder.decode(b"", final=True)
 
 
+def encoded_slices(columns: Iterable[pa.Array], machine: Transducer) -> Iterator[pa.Array]:
+    """Ids of texts and the bytes they stand for, some texts at a time: a worker holds the
+    results of a slice, not those of a batch."""
+    for column in columns:
+        for first, last, _, _ in slices(column):
+            ids = [machine.encode(text.as_py() or "") for text in column.slice(first, last - first)]
+            yield pa.StructArray.from_arrays(
+                [pa.array(ids, pa.binary()), pa.array(map(machine.decode, ids), pa.binary())], ["ids", "decoded"]
+            )
+        del column
+        trim()
+
+
 def _transducer(entries: tuple[tuple[bytes, int], ...], pattern: str) -> Transducer:
     """One machine per worker, which tasks share."""
     return held((pattern, entries), lambda: Transducer(dict(entries), pattern))
@@ -295,12 +308,8 @@ def transcode(documents: DataFrame, path: str = VOCABULARY, pattern: str = PATTE
     entries = _shared(documents, path)
 
     @F.arrow_udf("struct<ids: binary, decoded: binary>")
-    def both(column: pa.Array) -> pa.Array:
-        machine = _transducer(entries.value, pattern)
-        ids = [machine.encode(text.as_py() or "") for text in column]
-        return pa.StructArray.from_arrays(
-            [pa.array(ids, pa.binary()), pa.array(map(machine.decode, ids), pa.binary())], ["ids", "decoded"]
-        )
+    def both(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return encoded_slices(columns, _transducer(entries.value, pattern))
 
     # Marked so, it is run once per row, not once for each use of its results.
     once = both.asNondeterministic()
