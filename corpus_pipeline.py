@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitledger.llm import bpe, decontaminate, language, lines, near_duplicates
+from hitledger.llm import batches, bpe, decontaminate, language, lines, near_duplicates
 from hitledger.llm.frames import BLANKS, apart, released, remove, table, together
 from hitledger.session import scratch
 
@@ -23,6 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     by far, they go. Where no document has a label, none can be judged and all stay that have a
     letter. Repeated rows stay or go together, whatever their ids, null ones as well. Columns
     come back as they were, an empty table empty."""
+    batches.small_batches(spark)
     names = ["text", "lang"]
     rows = apart(docs, names)
     model = language.calibrate(rows, language.train(rows))
@@ -49,6 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows that have it, or one of those without an id if none has one. Texts without a word (null,
     empty, blank) are like nothing and stay. Columns come back as they were, an empty table
     empty."""
+    batches.small_batches(spark)
     names = ["doc_id", "text"]
     found = near_duplicates.near_duplicates(apart(docs, names))
     return together(found.filter("chosen"), docs, names)
@@ -58,6 +60,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents without a window of a benchmark item. A text without words (null, empty,
     blank) has none and stays; repeated rows, with or without an id, stay or go together, and
     so do all with an empty benchmark. Columns come back as they were, an empty table empty."""
+    batches.small_batches(spark)
     names = ["doc_id", "text"]
     found = decontaminate.contamination(apart(docs, names), table(spark, sf_dir, "benchmark"))
     return together(found.filter(~F.col("contaminated")), docs, names)
@@ -67,6 +70,7 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian 32-bit numbers in one binary), and the digest of what they
     decode to, a row per document. A null text is an empty one and has no tokens; rows alike
     get the same ids. Columns of other names are left out."""
+    batches.small_batches(spark)
     encoded = bpe.transcode(docs.select("doc_id", "lang", "source", "text"))
     return encoded.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -13,11 +13,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # Bytes and rows of texts that are worked on at a time.
 SLICE_BYTES = 1 << 20
 SLICE_ROWS = 1024
+# Spark puts 10,000 rows into a batch, and up to 256 MB; executors hold a batch several times
+# over beside their heap, on its way to a worker and back. A longer text is a batch of its own.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * SLICE_BYTES))
 
 SPACES = frozenset(b" \t\n\x0b\x0c\r")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -34,6 +37,13 @@ def importable(frame: DataFrame) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the batches of the session's Python workers by bytes, for jobs whose stages share
+    executors; a session that has a size of its own keeps it."""
+    if BATCH[0] not in spark.conf.getAll:
+        spark.conf.set(*BATCH)
+
+
 _held: list = [None, None]
 
 
