@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Bytes and rows of texts that are worked on at a time.
 SLICE_BYTES = 1 << 20
 SLICE_ROWS = 1024
+# Slices whose hashes stay in a core's cache, for passes over every byte.
+CACHED_BYTES = 1 << 17
 # Spark puts 10,000 rows into a batch, and up to 256 MB; executors hold a batch several times
 # over beside their heap, on its way to a worker and back. A longer text is a batch of its own.
 BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * SLICE_BYTES))
